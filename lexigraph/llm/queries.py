@@ -15,6 +15,21 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .sharding import shard
+
+    out = shard(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest, find_spans
+
+    return digest(find_spans(table(spark, sf_dir, "documents")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -32,4 +47,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import pii
+
+    return {"op3_pii": pii.oracle()}
