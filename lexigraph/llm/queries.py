@@ -15,6 +15,12 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -30,6 +36,16 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_spans(table(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .toxicity import fit, held_out, score
+
+    docs = table(spark, sf_dir, "documents")
+    out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
