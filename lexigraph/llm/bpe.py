@@ -11,12 +11,14 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +66,7 @@ def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8
     spark, docs = docs.sparkSession, texts(docs)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // slice_bytes))
-    blobs, back, dealt = (arrow_schema(spark, s) for s in ("slice int, bucket long, mark long, words binary", "bucket long, slice int, mark long, ids binary", "bucket long, doc_id long, text string"))
+    blobs, back, dealt = (arrow_schema(spark, s) for s in ("slice int, bucket long, mark long, words binary", "bucket long, slice int, mark long, ids binary", "bucket long, docs binary"))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter(path, lower)
@@ -88,10 +90,16 @@ def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, ids, rows in _chunks(batches, bucket_bytes):
-            yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.string())], schema=dealt)
+            blob = zstandard.ZstdCompressor(level=3).compress(json.dumps([ids, rows], ensure_ascii=False).encode())
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([blob], pa.binary())], schema=dealt)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        split, rows = Splitter(path, lower), left["text"].tolist()
+        split = Splitter(path, lower)
+        ids_of, rows = [], []
+        for blob in left["docs"]:
+            some = json.loads(zstandard.ZstdDecompressor().decompress(blob))
+            ids_of += some[0]
+            rows += some[1]
         word: dict[str, tuple[bytes, str, int]] = {}
         vocab = split.pieces()
         got = {s: (m, i) for s, m, i in zip(right["slice"], right["mark"], right["ids"])}
@@ -107,7 +115,7 @@ def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8
                 for w in words:
                     word[w] = _forms(split.ids(w), vocab)
         out = []
-        for i, t in zip(left["doc_id"], rows):
+        for i, t in zip(ids_of, rows):
             found = [word[w] for w in split.words(t)]
             text, count = " ".join([f[1] for f in found]), sum([f[2] for f in found])
             ids = " ".join([f[0] for f in found])
@@ -115,7 +123,7 @@ def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8
         return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]).astype({"doc_id": "Int64"})
 
     table = materialize(docs.mapInArrow(distinct, "slice int, bucket long, mark long, words binary").groupBy("slice").applyInArrow(encoded, "bucket long, slice int, mark long, ids binary"), "words")
-    return docs.mapInArrow(deal, "bucket long, doc_id long, text string").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(meet, _DIGESTS if digests else _IDS)
+    return docs.mapInArrow(deal, "bucket long, docs binary").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(meet, _DIGESTS if digests else _IDS)
 
 
 def _forms(ids: list[int], vocab: list[str]) -> tuple[str, str, int]:
