@@ -52,6 +52,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import NearDuplicates
+
+    return NearDuplicates().components(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode
 
@@ -63,6 +69,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import pii
+    from . import minhash, pii
 
-    return {"op3_pii": pii.oracle()}
+    return {"op3_pii": pii.oracle(), "op9_minhash": minhash.oracle()}
