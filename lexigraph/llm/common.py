@@ -2,42 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-#: When a stage's result is written, its shuffle files are no longer needed; Spark removes them at the end of the query.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; set here only where it is unset (local tests)."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="lexigraph-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    return conf.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: the lineage ends here and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lexigraph-{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
+from ..plans.tables import cut as materialize  # noqa: F401
 
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply fn, columns in and columns out, to every Arrow batch of df."""
@@ -51,11 +23,11 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], sc
     return df.mapInArrow(run, schema)
 
 
-def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    return to_arrow_schema(_parse_datatype_string(schema))
+    return to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
