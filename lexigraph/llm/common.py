@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..plans.tables import cut as materialize  # noqa: F401
 
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply fn, columns in and columns out, to every Arrow batch of df."""
     kinds = arrow_schema(df.sparkSession, schema)

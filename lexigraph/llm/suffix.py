@@ -253,10 +253,10 @@ class RepeatedStrings:
         return Strings(t.column("__text").combine_chunks().fill_null(""), t.column("__id").combine_chunks(), self.length, self.k)
 
     def marked(self, docs: DataFrame, out: str, finish, keep: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """finish(rows of a chunk, its texts' bytes, their bounds, which bytes go) as a table of schema out. The rows have __id, __text and the columns of keep."""
+        """finish(rows of a chunk, its texts' bytes, their bounds, which bytes go) as a table of schema out. The rows have __id, __text and k0, k1, ... for the columns of keep."""
         spark = docs.sparkSession
         length, k, hot, width = self.length, self.k, self.hot, 2 * self.length - self.k
-        own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
+        own = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
         chunks = materialize(self._chunks(own), "chunks")
         total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
         slices = max(1, -(-total // self.slice_bytes))
@@ -414,14 +414,15 @@ class RepeatedStrings:
     def deduplicate(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """docs without the repeated bytes of their texts; characters that a cut goes through go wholly; texts without repeats stay as they are, null ones too."""
         names = docs.columns
+        keep = [c for c in names if c != text_col]
 
         def finish(t: pa.Table, data: np.ndarray, at: np.ndarray, gone: np.ndarray) -> pa.Table:
             old, new = t.column("__text").to_pylist(), []
             for i, (s, e) in enumerate(zip(at, at[1:])):
                 new.append(data[s:e][~gone[s:e]].tobytes().decode("utf-8", "ignore") if gone[s:e].any() else old[i])
-            return pa.table([pa.array(new, pa.string()) if c == text_col else t.column(c) for c in names], names=names)
+            return pa.table([pa.array(new, pa.string()) if c == text_col else t.column(f"k{keep.index(c)}") for c in names], names=names)
 
-        return self.marked(docs, docs.schema, finish, [c for c in names if c != text_col], text_col=text_col)
+        return self.marked(docs, docs.schema, finish, keep, text_col=text_col)
 
 
 def oracle(length: int = 50) -> str:
