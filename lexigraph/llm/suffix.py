@@ -380,10 +380,12 @@ class RepeatedStrings:
                 first = rows["lead"]
                 whole = ((np.int64(2) << rows["high"]) - 1) & ~((np.int64(1) << rows["low"]) - 1)
                 mask = np.where(rows["id"] > rows["id"][first], whole, mask[first])
-                edge = np.zeros(len(strings.data) + 1, np.int32)
-                for off in range(length - k + 1):
-                    start = rows["place"][(mask >> off) & 1 == 1] - off
-                    edge += np.bincount(start, minlength=len(edge)).astype(np.int32) - np.bincount(start + length, minlength=len(edge)).astype(np.int32) if len(start) else np.int32(0)
+                starts = [np.zeros(0, np.int64)]
+                for i in range(0, len(mask), 1 << 14):
+                    row, off = np.nonzero((mask[i : i + (1 << 14), None] >> np.arange(length - k + 1)) & 1)
+                    starts.append(rows["place"][row + i] - off)
+                start, n = np.concatenate(starts), len(strings.data) + 1
+                edge = np.bincount(start, minlength=n) - np.bincount(start + length, minlength=n)
                 gone = np.cumsum(edge[:-1]) > 0
                 done.append(finish(t, strings.data, strings.at, gone))
             return pa.concat_tables(done).cast(result)
