@@ -4,12 +4,13 @@
    form one node, named by its smallest doc_id.
 2. Nodes that share a band meet. Every node is first compared with the smallest node of each of its bands (a star, not all
    pairs): the two signatures are read in batches of `batch` minima, and after each one a pair is pruned when the posterior
-   probability that its similarity reaches the threshold falls under `miss`. The node's smallest surviving partner is
+   probability that its similarity reaches the threshold falls under `miss`. The node's closest surviving partner is
    confirmed on the full sets of both, and confirmed links give components.
-3. Bands that still hold several components are searched again, in blocks of signatures inside one task, for surviving
-   pairs between different components; these and the star's other survivors are confirmed, and the components made again.
+3. Bands that still hold several components are searched in blocks of signatures inside one task, at first for each node's
+   closest partner outside its component, then, when those links have joined components, for every surviving pair between
+   different components; these and the star's other survivors are confirmed, and the components made again.
    Bands of more than `crowd` nodes are dealt anew by a second band, so that no task gets an unbounded group.
-Pairs inside one component are never needed, so groups of copies cost one pair for each member.
+Pairs inside one component are never needed, so groups of copies cost a few pairs for each member.
 
 Two documents at the threshold share no band with probability (1 - t ** rows) ** bands (7e-11 for 0.85 and the
 defaults), and a pair that does is pruned wrongly with probability of about `miss`.
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected
+from ..plans.tables import drop_cut
 from .common import arrow_schema, materialize, texts
 from .shingle import mix, shingles
 
@@ -66,14 +68,14 @@ def least_matches(n: int, percent: int, miss: float) -> int:
     return n
 
 
-def surviving(a: np.ndarray, b: np.ndarray, percent: int, miss: float, batch: int) -> np.ndarray:
-    """Which rows of the signature matrices a and b (same shape) survive every batch."""
+def surviving(a: np.ndarray, b: np.ndarray, percent: int, miss: float, batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of the signature matrices a and b (same shape) survive every batch, and how many minima they share."""
     alive, same = np.arange(len(a)), np.zeros(len(a), np.int32)
     for i in range(0, a.shape[1], batch):
         same = same + (a[alive, i : i + batch] == b[alive, i : i + batch]).sum(axis=1, dtype=np.int32)
         ok = same >= least_matches(min(i + batch, a.shape[1]), percent, miss)
         alive, same = alive[ok], same[ok]
-    return alive
+    return alive, same
 
 
 def _sig_matrix(column: pa.Array, n: int) -> np.ndarray:
@@ -88,6 +90,17 @@ def _band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(h).view(np.int64)
 
 
+def _closest(x: np.ndarray, y: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs x, y those that share the most minima among the pairs of either end."""
+    keep = np.zeros(len(x), bool)
+    for end in (x, y):
+        order = np.lexsort((-same, end))
+        new = np.ones(len(order), bool)
+        new[1:] = end[order][1:] != end[order][:-1]
+        keep[order[new]] = True
+    return x[keep], y[keep], same[keep]
+
+
 def _put(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -121,28 +134,38 @@ class NearDuplicates:
         sigs = materialize(self.signatures(docs), "signatures")
         named = sigs.filter("doc_id is not null and n_shingles > 0")
         reps = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
-        nodes = materialize(named.join(reps.withColumnRenamed("node", "doc_id"), ["d1", "d2", "doc_id"], "left_semi").dropDuplicates(["d1", "d2", "doc_id"]).select(F.col("doc_id").alias("node"), "sig"), "nodes")
-        comps = self._linked(docs, nodes)
-        known = reps.join(comps, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
+        some = named.select(F.col("doc_id").alias("node"), F.col("n_shingles").cast("int").alias("n"), "d1", "d2", "sig")
+        nodes = some.join(reps.hint("merge"), ["node", "d1", "d2"], "left_semi").dropDuplicates(["node", "d1", "d2"]).select("node", "n", "sig")
+        comps = self._linked(docs, materialize(nodes, "nodes"))
+        known = reps.join(comps.hint("merge"), "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
         # the rows of one doc_id are one document: they take its least component
-        rows = sigs.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(known, ["d1", "d2"], "left")
+        rows = sigs.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("d1")).alias("d1"), "d2").join(known.hint("merge"), ["d1", "d2"], "left")
         component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
         return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
     def _linked(self, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         """(node, component) of linked nodes."""
-        bands = materialize(self._bands(nodes), "bands")
-        stars = self._pruned(nodes, self._stars(bands))
-        stars = materialize(stars, "stars")
-        first = self._confirmed(docs, stars.groupBy("a").agg(F.min("b").alias("b")))
-        first = materialize(first, "links")
-        comps = connected(first)
-        rest = self._crossing(stars.unionByName(self._residual(nodes, bands, comps)), comps)
-        more = materialize(self._confirmed(docs, materialize(rest, "rest")), "links")
-        return connected(first.unionByName(more))
+        bands = self._bands(nodes)
+        sizes = bands.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("most"), F.count("*").alias("n")).filter("b < most").select("key", "b", "n")
+        shared = materialize(bands.join(sizes.hint("merge"), "key"), "bands")
+        stars = materialize(self._pruned(nodes, shared.filter("node != b").select(F.col("node").alias("a"), "b").distinct()), "stars")
+        some = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).unionByName(shared.filter("n > 2").select("node")).distinct()
+        packed = materialize(self._packed(docs, some), "packed")
+        closest = stars.groupBy("a").agg(F.max(F.struct("same", "b"))["b"].alias("b"))
+        links = materialize(self._confirmed(packed, closest), "links")
+        comps = connected(links)
+        for every in (False, True):
+            found = self._residual(nodes, shared, comps, every)
+            rest = self._crossing(stars.select("a", "b").unionByName(found) if every else found, comps)
+            more = materialize(self._confirmed(packed, materialize(rest, "rest")), "links")
+            links = links.unionByName(more)
+            comps = connected(links)
+        for t in (shared, packed, stars):
+            drop_cut(t)
+        return comps
 
     def _bands(self, nodes: DataFrame) -> DataFrame:
-        """(key, node) for each band, but those that no other node shares."""
+        """(key, node) for each band."""
         schema = "key long, node long"
         kinds, bands, rows, n = arrow_schema(nodes.sparkSession, schema), self.bands, self.rows, self.n
 
@@ -154,50 +177,75 @@ class NearDuplicates:
 
         return nodes.select("node", "sig").mapInArrow(run, schema)
 
-    @staticmethod
-    def _stars(bands: DataFrame) -> DataFrame:
-        least = bands.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("most")).filter("b < most").select("key", "b")
-        return bands.join(least, "key").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
+    def _lower_bytes(self, nodes: DataFrame) -> DataFrame:
+        """nodes with a byte for each minimum, which is what pairs are compared by."""
+        kinds, n = arrow_schema(nodes.sparkSession, "node long, n int, sig binary"), self.n
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    yield _put(kinds, b.column("node"), b.column("n"), [x.tobytes() for x in _sig_matrix(b.column("sig"), 2 * n)[:, ::2]])
+
+        return nodes.select("node", "n", "sig").mapInArrow(run, "node long, n int, sig binary")
+
+    def _alike(self, x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs may be links by the sizes of their sets and by their signatures, and how many minima they share."""
+        near = np.flatnonzero(100 * np.minimum(nx, ny).astype(np.int64) >= self.percent * np.maximum(nx, ny).astype(np.int64))
+        alive, same = surviving(x[near], y[near], self.percent, self.miss, self.batch)
+        return near[alive], same
 
     def _pruned(self, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-        schema = "a long, b long"
-        kinds, n, how = arrow_schema(nodes.sparkSession, schema), self.n, (self.percent, self.miss, self.batch)
+        schema = "a long, b long, same int"
+        kinds, n, alike = arrow_schema(nodes.sparkSession, schema), self.n, self._alike
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
-                    x, y = (_sig_matrix(b.column(k), 2 * n).view("<u2") for k in ("sig_a", "sig_b"))
-                    yield b.select(["a", "b"]).take(pa.array(surviving(x, y, *how))).cast(kinds)
+                    x, y = (_sig_matrix(b.column(k), n) for k in ("sig_a", "sig_b"))
+                    ok, same = alike(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy())
+                    yield _put(kinds, b.column("a").take(pa.array(ok)), b.column("b").take(pa.array(ok)), same)
 
-        left, right = (nodes.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "ab")
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, schema)
+        low = self._lower_bytes(nodes)
+        left, right = (low.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"sig_{k}")).hint("merge") for k in "ab")
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, schema)
 
-    def _residual(self, nodes: DataFrame, bands: DataFrame, comps: DataFrame) -> DataFrame:
-        """Surviving pairs between components in bands that hold three nodes or more of several components."""
+    def _residual(self, nodes: DataFrame, shared: DataFrame, comps: DataFrame, every: bool) -> DataFrame:
+        """Surviving pairs between components in bands that hold three nodes or more of several components: all, each in the first band that it shares, or each node's closest."""
         schema = "a long, b long"
-        kinds, n, how, crowd = arrow_schema(nodes.sparkSession, schema), self.n, (self.percent, self.miss, self.batch), self.crowd
-        every = bands.join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-        sizes = every.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("n > 2 and c0 < c1")
-        rows = materialize(every.join(sizes.select("key", "n"), "key"), "residual")
-        small = rows.filter(F.col("n") <= crowd).select("key", "node", "comp")
-        large = rows.filter(F.col("n") > crowd).select(F.col("key").alias("k1"), "node", "comp")
-        finer = large.join(bands, "node").filter("key != k1").select(F.xxhash64("k1", "key").alias("key"), "node", "comp")
-        both = small.unionByName(finer)
-        sig = nodes.select("node", "sig")
+        n, bands, rows_of, crowd, alike = self.n, self.bands, self.rows, self.crowd, self._alike
+        kinds = arrow_schema(nodes.sparkSession, schema)
+        placed = shared.filter("n > 2").join(comps.hint("merge"), "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("comp"))
+        several = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("key")
+        rows = materialize(placed.join(several.hint("merge"), "key", "left_semi"), "residual")
+        small = rows.filter(F.col("n") <= crowd).select("key", F.col("key").alias("band"), "node", "comp")
+        large = rows.filter(F.col("n") > crowd).select(F.col("key").alias("band"), "node", "comp")
+        finer = large.join(shared.select("key", "node").hint("merge"), "node").filter("key != band").select(F.xxhash64("band", "key").alias("key"), "band", "node", "comp")
+        sig = nodes.select("node", F.col("n").alias("size"), "sig")
         parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = both.join(sig, "node").select("key", "node", "comp", "sig").repartition(parts, "key").sortWithinPartitions("key")
+        dealt = small.unionByName(finer).join(sig.hint("merge"), "node").select("key", "band", "node", "comp", "size", "sig").repartition(parts, "key").sortWithinPartitions("key", "band")
 
-        def pairs(node: np.ndarray, comp: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def pairs(band: np.ndarray, node: np.ndarray, comp: np.ndarray, size: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
             if comp.min() == comp.max():
                 return
-            step = max(1, 200_000 // len(node))
+            low = np.ascontiguousarray(sig.view(np.uint8)[:, ::2])
+            step, near = max(1, 200_000 // len(node)), []
             for i in range(0, len(node), step):
                 x, y = np.nonzero(comp[i : i + step, None] != comp[None, :])
                 x, y = x[x + i < y] + i, y[x + i < y]
-                ok = surviving(sig[x], sig[y], *how) if len(x) else x
-                if len(ok):
-                    u, v = node[x[ok]], node[y[ok]]
+                if not len(x):
+                    continue
+                ok, same = alike(low[x], low[y], size[x], size[y])
+                x, y = x[ok], y[ok]
+                if not every:
+                    near.append(_closest(x, y, same))
+                elif len(x):
+                    kx, ky = _band_keys(sig[x], bands, rows_of), _band_keys(sig[y], bands, rows_of)
+                    first = kx[np.arange(len(x)), (kx == ky).argmax(axis=1)] == band[x]
+                    u, v = node[x[first]], node[y[first]]
                     yield _put(kinds, np.maximum(u, v), np.minimum(u, v))
+            if near:
+                x, y, _ = _closest(*map(np.concatenate, zip(*near)))
+                yield _put(kinds, np.maximum(node[x], node[y]), np.minimum(node[x], node[y]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[tuple] = []  # the last key's rows so far
@@ -205,7 +253,7 @@ class NearDuplicates:
                 if not b.num_rows:
                     continue
                 key = b.column("key").to_numpy()
-                cols = (key, b.column("node").to_numpy(), b.column("comp").to_numpy(), _sig_matrix(b.column("sig"), 2 * n).view("<u2"))
+                cols = (key, *(b.column(k).to_numpy() for k in ("band", "node", "comp", "size")), _sig_matrix(b.column("sig"), 2 * n).view("<u2"))
                 cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
                 for s, e in zip(cuts, cuts[1:]):
                     if held and held[0][0][0] != key[s]:
@@ -221,18 +269,25 @@ class NearDuplicates:
     def _crossing(pairs: DataFrame, comps: DataFrame) -> DataFrame:
         """Distinct pairs whose ends are in different components."""
         left, right = (comps.select(F.col("node").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
-        got = pairs.distinct().join(left, "a", "left").join(right, "b", "left")
+        got = pairs.distinct().join(left.hint("merge"), "a", "left").join(right.hint("merge"), "b", "left")
         return got.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    def _confirmed(self, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-        """The pairs that are links, by the full sets of both texts."""
-        spark, size, percent = docs.sparkSession, self.size, self.percent
-        blob, kinds = arrow_schema(spark, "doc_id long, words binary"), arrow_schema(spark, "a long, b long")
+    @staticmethod
+    def _packed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """(doc_id, words): the lower-cased texts of nodes, compressed."""
+        blob = arrow_schema(docs.sparkSession, "doc_id long, words binary")
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            z = zstandard.ZstdCompressor(level=3)
+            z = zstandard.ZstdCompressor(level=6)
             for b in batches:
-                yield _put(blob, b.column("doc_id"), [z.compress(t.encode().lower()) for t in b.column("text").to_pylist()])
+                yield _put(blob, b.column("doc_id"), [z.compress(b" ".join(t.encode().lower().split())) for t in b.column("text").to_pylist()])
+
+        packed = texts(docs).mapInArrow(pack, "doc_id long, words binary")
+        return packed.join(nodes.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "words"])
+
+    def _confirmed(self, packed: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The pairs that are links, by the full sets of both texts."""
+        size, percent, kinds = self.size, self.percent, arrow_schema(packed.sparkSession, "a long, b long")
 
         def sets(raw: bytes) -> set:
             w = zstandard.ZstdDecompressor().decompress(raw).split()
@@ -250,16 +305,13 @@ class NearDuplicates:
                     keep.append(100 * common >= percent * (len(left) + len(right) - common))
                 yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).cast(kinds)
 
-        some = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-        packed = texts(docs).mapInArrow(pack, "doc_id long, words binary").join(some.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "words"])
-        packed = materialize(packed, "packed")
-        left, right = (packed.select(F.col("doc_id").alias(k), F.col("words").alias(f"words_{k}")) for k in "ab")
+        left, right = (packed.select(F.col("doc_id").alias(k), F.col("words").alias(f"words_{k}")).hint("merge") for k in "ab")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b").mapInArrow(check, "a long, b long")
 
     def deduplicate(self, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         """The rows of docs whose document is its component's smallest, with all their columns."""
         gone = self.components(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-        return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+        return docs.join(gone.hint("merge"), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
 
 
 def oracle(percent: int = 85) -> str:
