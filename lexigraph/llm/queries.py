@@ -46,6 +46,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vptree import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix import RepeatedStrings
 
@@ -75,6 +81,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import minhash, pii, suffix
+    from . import minhash, pii, suffix, vptree
 
-    return {"op3_pii": pii.oracle(), "op6_suffix": suffix.oracle(), "op9_minhash": minhash.oracle()}
+    return {"op3_pii": pii.oracle(), "op5_vptree": vptree.oracle(), "op6_suffix": suffix.oracle(), "op9_minhash": minhash.oracle()}
