@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -61,7 +61,13 @@ def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +79,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode
 
-    return encode(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), digests=True)
+    return encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), digests=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
