@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: What Python's str.split() takes as white space, for Java's matcher.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -19,7 +20,7 @@ def collapse(c) -> Column:
     return F.regexp_replace(F.regexp_replace(_col(c), f"{SPACE}+", " "), "^ | $", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _casefold(s: pd.Series) -> pd.Series:
     return s.str.casefold()
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import norm_key
 from ..plans.tables import cut
 from ..types import CONCEPT, INFERRED_DOC, SPAN, BridgeConfig
 from .components import connected
@@ -69,7 +68,7 @@ def bridges(triples: DataFrame, how: BridgeConfig = BridgeConfig(), fold: str =
     by_name = Window.partitionBy("place", "type").orderBy("name")
     few = nodes.withColumn("rank", F.row_number().over(by_name)).filter(F.col("rank") <= how.candidate_limit).drop("rank")
     kinds = few.select("type").distinct()
-    wanted = ends(kinds, "l").join(ends(kinds, "r"), (F.col("l_type") == F.col("r_type")) | ((F.col("l_type") == "PERSON") & (F.col("r_type") == "ORG")))
+    wanted = kinds.select(F.col("type").alias("l_type"), F.col("type").alias("r_type")).unionByName(spark.createDataFrame([("PERSON", "ORG")], "l_type string, r_type string"))
     by_type = ends(few, "l").join(F.broadcast(wanted), "l_type").join(ends(few, "r"), "r_type").filter("l_place < r_place")
     # by a shared long word
     words = nodes.withColumn("word", F.explode(F.array_distinct(F.filter(F.split("name", " "), lambda w: F.length(w) >= 4))))
@@ -98,6 +97,3 @@ def merge_inferred(stated: DataFrame, inferred: DataFrame, fold: str = "casefold
 
 def report_lines(found: DataFrame) -> DataFrame:
     return found.select(F.format_string("BRIDGE %s -[%s]-> %s (%.2f)", "source", "predicate", "target", "score").alias("line"))
-
-
-__all__ = ["bridges", "component_report", "entity_components", "materialized", "merge_inferred", "norm_key", "report_lines", "score"]

@@ -5,14 +5,15 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ..functions.text import ngrams
 
 
 def _blake_bucket(dimensions: int):
-    @F.pandas_udf("int")
+    @F.pandas_udf(IntegerType())
     def bucket(s: pd.Series) -> pd.Series:
         return s.map(lambda g: int.from_bytes(hashlib.blake2b(g.encode(), digest_size=4).digest(), "big") % dimensions)
 
@@ -45,8 +46,6 @@ def pairs(vecs: DataFrame, floor: float) -> DataFrame:
     if floor <= 0:
         raise ValueError("the floor must be positive")
     freq = vecs.groupBy("bucket").agg(F.count("*").alias("df"))
-    from pyspark.sql import Window
-
     w = vecs.join(F.broadcast(freq), "bucket")  # as many rows as dimensions
     rest = Window.partitionBy("name").orderBy("df", "bucket").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     whole = Window.partitionBy("name")
