@@ -134,6 +134,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and text of (doc_id, ids array<int>): each id meets its piece in the vocabulary's table, which has a fixed number of rows."""
     spark = encoded.sparkSession
     pieces = F.broadcast(spark.createDataFrame(list(enumerate(Splitter(path, True).pieces())), "id int, piece string"))
-    rows = encoded.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.posexplode_outer("ids").alias("at", "id"))
+    rows = encoded.select(F.monotonically_increasing_id().alias("row"), "doc_id", "ids").select("row", "doc_id", F.posexplode_outer("ids").alias("at", "id"))
     got = rows.join(pieces, "id", "left").groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
     return got.select("doc_id", F.array_join(F.col("p.piece"), " ").alias("text"))
