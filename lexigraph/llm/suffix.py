@@ -218,7 +218,7 @@ def _prefixes(common: np.ndarray, by: np.ndarray, ranked: np.ndarray) -> np.ndar
 
 
 class RepeatedStrings:
-    def __init__(self, length: int = 50, k: int = 20, hot: int = 1 << 14, chunk_bytes: int = 8 << 20, slice_bytes: int = 24 << 20):
+    def __init__(self, length: int = 50, k: int = 20, hot: int = 1 << 14, chunk_bytes: int = 4 << 20, slice_bytes: int = 16 << 20):
         if not k <= length <= k + 31:
             raise ValueError("length must be from k to k + 31")
         self.length, self.k, self.hot, self.chunk_bytes, self.slice_bytes = length, k, hot, chunk_bytes, slice_bytes
