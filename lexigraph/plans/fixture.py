@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..types import SPAN
@@ -12,25 +12,29 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _facts(df: DataFrame, kind: int, place: Column, s: tuple[str, str], predicate: str, o: tuple[str, str], confidence: Column, doc: Column) -> DataFrame:
+def _facts(df: DataFrame, first: int, place: Column, s: tuple[str, str], predicate: str, o: tuple[str, str], confidence: Column, doc: Column) -> DataFrame:
     entity = lambda e: F.struct(F.col(e[0]).alias("name"), F.lit(e[1]).alias("entity_type"))
-    return df.select((F.lit(kind) * 10_000_000_000_000 + place.cast("bigint")).alias("seq"), entity(s).alias("subject"), F.lit(predicate).alias("predicate"), entity(o).alias("object"), confidence.cast("double").alias("confidence"), doc.alias("source_doc_id"), F.lit(None).cast(SPAN).alias("source_span"), F.lit(False).alias("inferred"))
+    return df.select((F.lit(first) + place.cast("bigint")).alias("seq"), entity(s).alias("subject"), F.lit(predicate).alias("predicate"), entity(o).alias("object"), confidence.cast("double").alias("confidence"), doc.alias("source_doc_id"), F.lit(None).cast(SPAN).alias("source_span"), F.lit(False).alias("inferred"))
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seq is unique and in the order of source tables and keys."""
+    """seq is unique and in the order of source tables and keys; rows of lineitem, whose keys repeat, by all their columns.
+
+    Every row of lineitem gives two facts. SQL below still collapses lineitem to one row for each key, so it has fewer.
+    """
     read = lambda n: _read(spark, sf_dir, n)
     nation, region, supplier, customer, part, orders, line = map(read, ("nation", "region", "supplier", "customer", "part", "orders", "lineitem"))
     doc = lambda kind, key: F.concat(F.lit(f"{kind}/"), F.col(key).cast("string"))
-    places = line.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey"), F.min("l_quantity").alias("l_quantity"), F.min("l_discount").alias("l_discount"))
-    at = F.col("l_orderkey") * 1000 + F.col("l_linenumber")
-    parts = places.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    key = ["l_orderkey", "l_linenumber"]
+    among = F.row_number().over(Window.partitionBy(key).orderBy([c for c in line.columns if c not in key]))
+    at = F.col("among") + 1_000_000 * (F.col("l_orderkey") * 1000 + F.col("l_linenumber"))
+    parts = line.withColumn("among", among).join(part, F.col("l_partkey") == F.col("p_partkey"))
     return (
         _facts(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")), 0, F.col("n_nationkey"), ("n_name", "GPE"), "is part of", ("r_name", "GPE"), F.lit(1.0), doc("nation", "n_nationkey"))
-        .unionByName(_facts(supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")), 1, F.col("s_suppkey"), ("s_name", "ORG"), "is based in", ("n_name", "GPE"), F.lit(0.9), doc("supplier", "s_suppkey")))
-        .unionByName(_facts(customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")), 2, F.col("c_custkey"), ("c_name", "PERSON"), "lives in", ("n_name", "GPE"), F.lit(0.8), doc("customer", "c_custkey")))
-        .unionByName(_facts(parts.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")), 3, at, ("s_name", "ORG"), "supplies", ("p_name", "PRODUCT"), F.least(F.lit(1.0), F.col("l_quantity") / 50), doc("order", "l_orderkey")))
-        .unionByName(_facts(parts.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey")), 4, at, ("c_name", "PERSON"), "ordered", ("p_name", "PRODUCT"), 1 - F.col("l_discount"), doc("order", "l_orderkey")))
+        .unionByName(_facts(supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")), 10**13, F.col("s_suppkey"), ("s_name", "ORG"), "is based in", ("n_name", "GPE"), F.lit(0.9), doc("supplier", "s_suppkey")))
+        .unionByName(_facts(customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")), 2 * 10**13, F.col("c_custkey"), ("c_name", "PERSON"), "lives in", ("n_name", "GPE"), F.lit(0.8), doc("customer", "c_custkey")))
+        .unionByName(_facts(parts.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")), 2 * 10**18, at, ("s_name", "ORG"), "supplies", ("p_name", "PRODUCT"), F.least(F.lit(1.0), F.col("l_quantity") / 50), doc("order", "l_orderkey")))
+        .unionByName(_facts(parts.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey")), 3 * 10**18, at, ("c_name", "PERSON"), "ordered", ("p_name", "PRODUCT"), 1 - F.col("l_discount"), doc("order", "l_orderkey")))
     )
 
 
