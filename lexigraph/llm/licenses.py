@@ -2,9 +2,11 @@
 
 A text is cut into fragments at sentence ends and line ends. Fragments are normalised (lower case, comment marks and
 punctuation gone, white space collapsed) and mapped to known licence sentences; a sentence that runs over several lines is
-tried with up to `max_lines` of them, longest first. The sequence of sentence identifiers of a document is then matched
-against ordered licence rules: at each place the first rule whose identifiers follow (sentences in brackets may be missing)
-wins and takes its sentences; a sentence that no rule takes counts as unmatched.
+tried with all of them up to its end, longest first. Wording that may go on in any way takes as few lines as it needs, so that
+it doesn't swallow a known sentence after it. Every fragment that begins as a known sentence does is tried. The sequence of
+sentence identifiers of a document is then matched against ordered licence rules: at each place the first rule whose
+identifiers follow (sentences in brackets may be missing) wins and takes its sentences; a sentence that no rule takes counts
+as unmatched.
 
 Null and empty texts have no sentences; repeated rows give repeated rows; an empty table gives an empty table; other columns are ignored.
 """
@@ -12,6 +14,7 @@ Null and empty texts have no sentences; repeated rows give repeated rows; an emp
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 
@@ -62,7 +65,13 @@ RULES = [
     ("{v}", ["spdx"]),
 ]
 _KNOWN = {k: re.compile(v) for k, v in SENTENCES.items()}
-_HINT = re.compile(r"licen[sc]|redistribut|public domain|permission is hereby|permission notice|provided|without any warranty|neither the name", re.I)
+#: The words that sentences begin with; each pattern of SENTENCES begins with one of them.
+_START = re.compile(r"(?:this|licensed|released|distributed|you|unless|see|permission|the|redistributions?|[123]|neither|in|spdx-license-identifier)\b")
+#: Patterns of any length: what stands before their first gap, and what after the last one.
+_HEAD = {k: re.compile(v.split(".*")[0]) for k, v in SENTENCES.items() if ".*" in v}
+_TAIL = {k: re.compile(v.rpartition(".*")[2] + r"\Z") for k, v in SENTENCES.items() if ".*" in v}
+#: No other pattern, and nothing before a gap, has more words.
+_WORDS = max(v.count(" ") + 1 for v in SENTENCES.values())
 _END = re.compile(r"[.!?:;](?=\s|$)|\n")
 _MARK = re.compile(r"^[\s#*/\-;%<!>]+|[\"'()\[\]*#“”]|--+>?|[.,;:!?]+$")
 _GAP = re.compile(r"\s+")
@@ -84,27 +93,47 @@ def fragments(text: str) -> list[tuple[str, bool]]:
     return [(f, e) for f, e in out if f.strip()]
 
 
-def sentences(text: str, max_lines: int = 8) -> list[tuple[str, dict]]:
+def sentences(text: str) -> list[tuple[str, dict]]:
     """(identifier, what its pattern captured) of the known sentences of text, in order."""
-    if not _HINT.search(text):
-        return []
     parts, out, i = fragments(text), [], 0
+    own = [normalised(p) for p, _ in parts]
+    ends = list(range(1, len(parts) + 1))  # where the sentence of each fragment ends
+    for k in range(len(parts) - 2, -1, -1):
+        if not parts[k][1]:
+            ends[k] = ends[k + 1]
     while i < len(parts):
-        j = i + 1
-        while j < len(parts) and j - i < max_lines and not parts[j - 1][1]:
-            j += 1
-        found = None
-        while j > i and not found:
-            s = normalised(" ".join(p for p, _ in parts[i:j]))
-            found = next(((k, m.groupdict()) for k, p in _KNOWN.items() if (m := p.fullmatch(s))), None)
-            if not found:
-                j -= 1
+        found, j = _sentence_at(parts, own, i, ends[i]) if _START.match(own[i]) else (None, i)
         if found:
             out.append(found)
         i = max(j, i + 1)
     return out
 
 
+def _sentence_at(parts: list[tuple[str, bool]], own: list[str], i: int, end: int) -> tuple[tuple[str, dict] | None, int]:
+    """The known sentence that begins at fragment i, and the fragment after it; own: fragments, normalised."""
+    joined = lambda j: normalised(" ".join(p for p, _ in parts[i:j]))
+    near, words = i, 0
+    while near < end and words <= _WORDS:
+        words += own[near].count(" ") + bool(own[near])
+        near += 1
+    first = joined(near)
+    for k in [k for k, head in _HEAD.items() if head.match(first)]:
+        fits = _KNOWN[k].fullmatch
+        if SENTENCES[k].endswith(".*"):  # fits with more lines too once it fits
+            if m := fits(joined(end)):
+                return (k, m.groupdict()), i + 1 + bisect_left(range(i + 1, end), True, key=lambda j: bool(fits(joined(j))))
+            continue
+        for j in range(end, i, -1):
+            if _TAIL[k].search(own[j - 1]) and (m := fits(joined(j))):
+                return (k, m.groupdict()), j
+    for j in range(near, i, -1):
+        s = joined(j) if own[j - 1] else ""
+        for k, p in _KNOWN.items():
+            if k not in _HEAD and (m := p.fullmatch(s)):
+                return (k, m.groupdict()), j
+    return None, i
+
+
 def _matches(rule: list[str], ids: list[str], at: int) -> int:
     """How many identifiers from at on the rule takes; 0 if it doesn't apply."""
     n = at
@@ -131,11 +160,11 @@ def licences(found: list[tuple[str, dict]], rules=RULES) -> tuple[list[str], int
     return out, rest
 
 
-def scan(docs: DataFrame, max_lines: int = 8) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences, sentences (identifiers in order), licenses (in order) and n_unmatched of every whole text."""
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        found = [sentences(t, max_lines) for t in cols["text"]]
+        found = [sentences(t) for t in cols["text"]]
         named = [licences(f) for f in found]
         return {
             "doc_id": cols["doc_id"],
