@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..functions.text import ngrams
+from ..plans.tables import cut
 
 
 def _blake_bucket(dimensions: int):
@@ -64,3 +68,58 @@ def dense(vecs: DataFrame, dimensions: int = 256) -> DataFrame:
     m = F.map_from_entries(F.collect_list(F.struct("bucket", "cnt")))
     got = vecs.groupBy("name").agg(m.alias("m"), F.sqrt(F.sum(F.col("cnt") * F.col("cnt")).cast("double")).alias("norm"))
     return got.select("name", F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("norm")).alias("embedding"))
+
+
+def dense_pairs(vecs: DataFrame, floor: float, block_rows: int = 4096) -> DataFrame:
+    """(left_id, right_id, similarity) of all pairs of rows (id, v array<double>) with left_id < right_id and a cosine of floor at least.
+
+    Exact: rows are dealt into blocks by their ids, and every two blocks meet. Pairs near the floor or over it are scored anew,
+    component by component. Vectors that are empty, zero or not all finite have no pair, nor do vectors of different sizes.
+    """
+    if floor <= 0:
+        raise ValueError("the floor must be positive")
+    spark = vecs.sparkSession
+    ok = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
+    rows = vecs.select(F.col("id").cast("bigint").alias("id"), "v").filter(F.col("id").isNotNull() & ok)
+    n = max(1, -(-rows.count() // block_rows))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def pack(t: pa.Table) -> pa.Table:
+        v = t.column("v").combine_chunks().flatten().to_numpy()
+        ids = t.column("id").to_numpy().astype(np.int64)
+        return pa.table({"size": t.column("size")[:1], "block": t.column("block")[:1], "ids": pa.array([ids.tobytes()], pa.binary()), "vs": pa.array([v.tobytes()], pa.binary())})
+
+    dealt = rows.select(F.size("v").alias("size"), F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block"), "id", "v")
+    blocks = cut(dealt.groupBy("size", "block").applyInArrow(pack, "size int, block int, ids binary, vs binary"), "blocks")
+    names = ["size", "l", "r"]
+    left = blocks.select("size", F.col("block").alias("l"), F.explode(F.sequence("block", F.lit(n - 1))).alias("r"), F.col("ids").alias("x_ids"), F.col("vs").alias("xs"))
+    right = blocks.select("size", F.explode(F.sequence(F.lit(0), "block")).alias("l"), F.col("block").alias("r"), F.col("ids").alias("y_ids"), F.col("vs").alias("ys"))
+    met = left.repartition(parts, *names).join(right.repartition(parts, *names).hint("merge"), names)
+
+    def unit(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = np.zeros(len(v))
+        for k in range(v.shape[1]):
+            total += v[:, k] * v[:, k]
+        return np.sqrt(total), v / np.sqrt(total)[:, None]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for size, l, r, x_ids, xs, y_ids, ys in zip(*(b.column(c).to_pylist() for c in (*names, "x_ids", "xs", "y_ids", "ys"))):
+                x, y = (np.frombuffer(v).reshape(-1, size) for v in (xs, ys))
+                i, j = np.frombuffer(x_ids, np.int64), np.frombuffer(y_ids, np.int64)
+                (nx, ux), (ny, uy) = unit(x), unit(y)
+                for at in range(0, len(x), 256):
+                    p, q = np.nonzero(ux[at : at + 256] @ uy.T >= floor - 1e-9)
+                    p += at
+                    if l == r:
+                        p, q = p[i[p] < j[q]], q[i[p] < j[q]]
+                    for k in range(0, len(p), 65536):
+                        a, c = p[k : k + 65536], q[k : k + 65536]
+                        dot = np.zeros(len(a))
+                        for d in range(size):
+                            dot += x[a, d] * y[c, d]
+                        s = dot / (nx[a] * ny[c])
+                        a, c, s = a[s >= floor], c[s >= floor], s[s >= floor]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[a], j[c])), pa.array(np.maximum(i[a], j[c])), pa.array(s)], names=["left_id", "right_id", "similarity"])
+
+    return met.select(*names, "x_ids", "xs", "y_ids", "ys").mapInArrow(score, "left_id bigint, right_id bigint, similarity double")

@@ -362,9 +362,8 @@ def rewrite_triples(spark, sf):
 
 @query("select a.vec_id as left_id, b.vec_id as right_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as similarity from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id where a.vec_id % 50 = 0", "")
 def dense_cosine(spark, sf):
-    e = _t(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    a, b = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("left_id"), "label", F.col("v").alias("x")), e.select(F.col("vec_id").alias("right_id"), "label", F.col("v").alias("y"))
-    return a.join(b, "label").filter("left_id < right_id").select("left_id", "right_id", F.round(scores.cosine("x", "y"), 6).alias("similarity"))
+    e = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    return similarity.dense_pairs(e, 0.3).withColumn("similarity", F.round("similarity", 6))
 
 
 def _aliases(spark, sf) -> DataFrame:

@@ -1,8 +1,11 @@
 """Queries do their whole job: no row, pair or kind is left out."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from lexigraph import queries
 from lexigraph.plans import fixture
 
 
@@ -64,3 +67,19 @@ def test_every_licence_pattern_begins_with_a_start():
         for head in heads:
             for word in head.removeprefix("(?:").split(")")[0].split("|") if head.startswith("(?:") else [head]:
                 assert licenses._START.match(word.strip()), (k, word)
+
+
+def test_dense_cosine_gives_all_pairs_over_its_floor(spark, tmp_path):
+    from lexigraph.operators.similarity import dense_pairs
+
+    r = random.Random(5)
+    rows = [(i, [r.gauss(0, 1) for _ in range(4 + i % 2)], i % 3) for i in range(1, 60)] + [(60, [0.0] * 4, 0), (61, [], 0), (62, None, 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    e = [(x.vec_id, x.embedding) for x in spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect() if x.embedding and any(x.embedding)]
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    want = {(i, j): sum(map(float.__mul__, a, b)) / norm(a) / norm(b) for i, a in e for j, b in e if i < j and len(a) == len(b)}
+    want = {k: round(s, 6) for k, s in want.items() if s >= 0.3}
+    got = queries.dense_cosine(spark, str(tmp_path)).collect()
+    assert {(x.left_id, x.right_id): x.similarity for x in got} == pytest.approx(want, abs=2e-6) and len(got) == len(want) > 100
+    blocks = dense_pairs(spark.createDataFrame([(i, list(v)) for i, v in e], "id long, v array<double>"), 0.3, block_rows=9).collect()
+    assert sorted((x.left_id, x.right_id) for x in blocks) == sorted(want)
