@@ -355,7 +355,7 @@ def canonical_map(spark, sf):
 
 @query()
 def rewrite_triples(spark, sf):
-    facts = _facts(spark, sf).filter("predicate = 'supplies'")
+    facts = _facts(spark, sf)
     mapping = resolution.resolve_names(_names(spark, sf))[0]
     return _flat(resolution.rewrite(facts, mapping))
 
@@ -482,7 +482,7 @@ def node_degrees(spark, sf):
 
 @query("select seq, case when confidence is null then predicate else predicate || printf(' (%.2f)', confidence) end as label from v where predicate <> 'supplies'", _VIEW)
 def edge_labels(spark, sf):
-    return _view(spark, sf)[1].filter("predicate <> 'supplies'").select("seq", views.edge_label(True).alias("label"))
+    return _view(spark, sf)[1].select("seq", views.edge_label(True).alias("label"))
 
 
 @query("select count(*) as loops, (select count(*) from v where source <> target) as others from v where source = target", _VIEW)

@@ -83,3 +83,13 @@ def test_dense_cosine_gives_all_pairs_over_its_floor(spark, tmp_path):
     assert {(x.left_id, x.right_id): x.similarity for x in got} == pytest.approx(want, abs=2e-6) and len(got) == len(want) > 100
     blocks = dense_pairs(spark.createDataFrame([(i, list(v)) for i, v in e], "id long, v array<double>"), 0.3, block_rows=9).collect()
     assert sorted((x.left_id, x.right_id) for x in blocks) == sorted(want)
+
+
+def test_rewrite_and_labels_cover_every_fact(spark, sf):
+    facts = fixture.triples(spark, sf).select("seq", "predicate", F.lower("subject.name").alias("s"), F.lower("object.name").alias("o"), "confidence").collect()
+    got = {x.seq: x for x in queries.rewrite_triples(spark, sf).collect()}
+    assert len(got) == len(facts) == 14
+    for x in facts:  # the two part names are similar, and the shorter one is canonical
+        assert (got[x.seq].s, got[x.seq].predicate, got[x.seq].o) == (x.s, x.predicate, x.o.replace("laces", "lace"))
+    labels = {x.seq: x.label for x in queries.edge_labels(spark, sf).collect()}
+    assert labels == {x.seq: f"{x.predicate} ({x.confidence:.2f})" for x in facts}
