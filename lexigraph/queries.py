@@ -290,12 +290,12 @@ _ISLANDS = _WITH + ", i as (select seq, lower(s) as s, st, case when p = 'is bas
 
 @query("select name, min(component) as component from h group by name", _ISLANDS)
 def components(spark, sf):
-    return bridges.entity_components(_islands(spark, sf), "lower")
+    return bridges.entity_components(_facts(spark, sf), "lower")
 
 
 @query(", k as (select name, min(component) as component from h group by name) select count(distinct component) as components, count(*) as entities, (select max(n) from (select count(*) as n from k group by component)) as largest from k", _ISLANDS)
 def component_report(spark, sf):
-    return bridges.component_report(_islands(spark, sf), "lower")
+    return bridges.component_report(_facts(spark, sf), "lower")
 
 
 _BRIDGES = """, k as (select name, min(component) as component from h group by name),

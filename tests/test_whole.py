@@ -93,3 +93,16 @@ def test_rewrite_and_labels_cover_every_fact(spark, sf):
         assert (got[x.seq].s, got[x.seq].predicate, got[x.seq].o) == (x.s, x.predicate, x.o.replace("laces", "lace"))
     labels = {x.seq: x.label for x in queries.edge_labels(spark, sf).collect()}
     assert labels == {x.seq: f"{x.predicate} ({x.confidence:.2f})" for x in facts}
+
+
+def test_components_cover_the_whole_graph(spark, sf):
+    facts = fixture.triples(spark, sf).select(F.lower("subject.name").alias("s"), F.lower("object.name").alias("o")).collect()
+    comp = {n: n for x in facts for n in (x.s, x.o)}
+    for _ in comp:
+        for x in facts:
+            comp[x.s] = comp[x.o] = min(comp[x.s], comp[x.o])
+    got = {x.name: x.component for x in queries.components(spark, sf).collect()}
+    assert got == comp and {"customer#1", "azure linen lace"} < set(got)
+    report = queries.component_report(spark, sf).first()
+    sizes = [list(comp.values()).count(c) for c in set(comp.values())]
+    assert (report.components, report.entities, report.largest) == (len(sizes), len(comp), max(sizes))
