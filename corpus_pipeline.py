@@ -43,7 +43,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("repeats", repeats), ("pii", pii), ("packing", packing)]
-#: SQL can express neither the classifier nor the tokenizer; tests/llm/test_pipeline.py holds run() against a brute-force version.
+#: SQL can express neither the classifier nor the tokenizer; no test holds run() against a brute-force version yet.
 ORACLE_SQL = None
 
 
