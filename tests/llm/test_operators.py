@@ -79,8 +79,8 @@ def components(rows, percent):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("crowd", [4096, 2])
-def test_minhash_matches_brute_force(spark, crowd):
+@pytest.mark.parametrize("tile", [2048, 2])
+def test_minhash_matches_brute_force(spark, tile):
     from lexigraph.llm.minhash import NearDuplicates
 
     r, rows = random.Random(2), list(ODD)
@@ -91,13 +91,13 @@ def test_minhash_matches_brute_force(spark, crowd):
                 w[r.randrange(len(w))] = f"new{g}{k}"
             rows.append((1000 - 20 * g - k, " ".join(w)))
     df = table(spark, rows)
-    got = NearDuplicates(crowd=crowd).components(df).collect()
+    got = NearDuplicates(tile=tile).components(df).collect()
     want = components(rows, 85)
     assert len(got) == len(rows)
     for x in got:
         assert x.component_id == (want[x.doc_id] if x.doc_id is not None else None)
         assert x.kept == (x.doc_id is None or x.component_id == x.doc_id)
-    kept = NearDuplicates(crowd=crowd).deduplicate(df)
+    kept = NearDuplicates(tile=tile).deduplicate(df)
     assert kept.columns == df.columns
     assert {x.doc_id for x in kept.collect()} == {None, *(i for i, c in want.items() if i == c)}
 
