@@ -60,16 +60,42 @@ def write_seconds(rows: int, size: int = 500, each: float = 0.12) -> float:
 
 
 def opacity(nodes: int, edges: int) -> float:
-    density = edges / nodes if nodes else 0
-    return max(0.25, min(0.9, 1.1 - 0.15 * density))
+    return max(0.25, min(0.9, 1.1 - 0.15 * edges / nodes)) if nodes else 0.9
 
 
 def label_font(nodes: int) -> int:
-    return 10 if nodes <= 50 else 8 if nodes <= 200 else 6
+    return 6 if nodes > 800 else 8 if nodes > 300 else 10
 
 
 def show_edge_labels(nodes: int, edges: int) -> bool:
-    return nodes > 0 and edges / nodes <= 3 and edges <= 800
+    return not nodes or edges / nodes <= 3 and edges <= 800
+
+
+def layout(nodes: int) -> str:
+    """Which way of laying out suits so many nodes."""
+    return "breadthfirst" if nodes > 1500 else "cose" if nodes > 1 else "grid"
+
+
+def z_index(inferred) -> Column:
+    """Inferred edges lie behind stated ones."""
+    return F.when(_col(inferred), 1).otherwise(2)
+
+
+def curve(parallel_index) -> Column:
+    """The first of parallel edges is straight, the others are bent."""
+    return F.when(_col(parallel_index) == 0, "straight").otherwise("bezier")
+
+
+def type_color(entity_type, colors: dict[str, str], unknown: str = "#6c757d") -> Column:
+    """A type's colour in a palette that the caller provides; grey for types that it lacks."""
+    pairs = [F.lit(x) for k, v in colors.items() for x in (k, v)]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), _col(entity_type)), F.lit(unknown)) if pairs else F.lit(unknown)
+
+
+def drift(phase: float, elapsed_ms: float, period_ms: float, width: float, height: float) -> tuple[float, float]:
+    """How far a node has moved from its place: a slow loop, as its two axes turn at different speeds."""
+    turn = elapsed_ms / period_ms * 2 * math.pi
+    return math.sin(turn + phase) * width, math.cos(0.73 * turn + phase) * height
 
 
 def parse_limit(raw: str | None, default: int = 500, most: int = 5000) -> int:

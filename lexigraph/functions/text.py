@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 #: What Python's str.split() takes as white space, for Java's matcher.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+_BOUNDARY = re.compile(r"(?<=[.!?])(?=[ \n\t])")
 
 
 def _col(c) -> Column:
@@ -38,15 +42,21 @@ def sentences(c) -> Column:
     return F.filter(F.split(_col(c), r"(?<=[.!?])(?=[ \n\t])", -1), lambda s: s != "")
 
 
-def sentence_spans(c) -> Column:
-    """(start, end) of each sentence, in code points."""
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("out"))
+def spans_in(text: str) -> list[tuple[int, int]]:
+    """(start, end) of each sentence of one text."""
+    cuts = [0, *(m.start() for m in _BOUNDARY.finditer(text)), len(text)]
+    return [(s, e) for s, e in zip(cuts, cuts[1:]) if e > s]
+
 
-    def step(a: Column, s: Column) -> Column:
-        end = a["at"] + F.length(s)
-        return F.struct(end.alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("start"), end.alias("end"))).alias("out"))
+@F.arrow_udf(ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])))
+def _spans(texts: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    return pa.array([None if t is None else [{"start": s, "end": e} for s, e in spans_in(t)] for t in texts.to_pylist()], kind)
 
-    return F.aggregate(sentences(c), start, step, lambda a: a["out"])
+
+def sentence_spans(c) -> Column:
+    """(start, end) of each sentence, in code points. In Arrow batches: a fold in SQL would copy its array for each sentence."""
+    return _spans(_col(c))
 
 
 def token_estimate(c) -> Column:
@@ -98,3 +108,40 @@ def key_of(*parts, sep: str = "|") -> Column:
 
 def legend_id(c) -> Column:
     return F.concat(F.lit("legend-"), F.lower(_col(c)))
+
+
+def panel_title(label) -> Column:
+    """The heading of a viewer's panel for the selected node, if any."""
+    return F.concat(F.lit("node details"), F.coalesce(F.concat(F.lit(": "), _col(label)), F.lit("")))
+
+
+def metric(c) -> Column:
+    """Two decimals, or a dash where there is no number."""
+    return F.coalesce(F.format_string("%.2f", _col(c)), F.lit("—"))
+
+
+def row_size(df) -> Column:
+    """The estimated size of a row: the lengths of its columns' names and values, as Python writes them."""
+    from pyspark.sql.types import BooleanType, DoubleType, FloatType
+
+    def written(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, BooleanType):
+            c = F.initcap(c.cast("string"))
+        elif isinstance(f.dataType, (DoubleType, FloatType)):  # a plain decimal from 0.0001 up to 1e7, which is where scores and counts are
+            c = c.cast("string")
+        return F.coalesce(F.length(c.cast("string")), F.lit(len("None"))) + len(f.name)
+
+    total = F.lit(0)
+    for f in df.schema:
+        total = total + written(f)
+    return total
+
+
+def export_name(at=None, stem: str = "lexigraph") -> Column:
+    """stem-2024-05-01.graphml, by the day in UTC (the session's zone must be UTC)."""
+    return F.concat(F.lit(f"{stem}-"), F.date_format(F.current_timestamp() if at is None else _col(at), "yyyy-MM-dd"), F.lit(".graphml"))
+
+
+def disposition(at=None, stem: str = "lexigraph") -> Column:
+    return F.concat(F.lit('attachment; filename="'), export_name(at, stem), F.lit('"'))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_key
+from ..plans.tables import cut, drop_cut
+from .triples import fixed_batches
+
+ALIAS = "alias string, canonical string"
 
 
 def add(table: DataFrame, pairs: DataFrame, fold: str = "casefold") -> DataFrame:
@@ -44,10 +48,28 @@ def candidates(names: DataFrame, table: DataFrame, least: int = 4, fold: str = "
     return own.join(known, "word").select("name", "canonical").distinct()
 
 
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The table of a folder that save() wrote; empty where nothing is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.schema(ALIAS).json(path) if there else spark.createDataFrame([], ALIAS)
+
+
+def save(table: DataFrame, path: str) -> None:
+    """Written as JSON lines in the order of alias, over whatever was there; the table may have been read from path."""
+    held = cut(table.select("alias", "canonical"), "aliases")
+    exported(held).write.mode("overwrite").json(path)
+    drop_cut(held)
+
+
+def exported(table: DataFrame) -> DataFrame:
+    """The table in the order of alias."""
+    return table.select("alias", "canonical").orderBy("alias")
+
+
 def queue(borderline: DataFrame) -> DataFrame:
-    """Pending items review-0000, review-0001, ... in the order of (canonical, alias). Borderline pairs are what people can read through, so one task numbers them."""
-    order = F.row_number().over(Window.orderBy("canonical", "alias")) - 1
-    got = borderline.withColumn("seq", order.cast("bigint"))
+    """Pending items review-0000, review-0001, ... in the order of (canonical, alias)."""
+    got = fixed_batches(borderline, 1, ["canonical", "alias"]).withColumnRenamed("batch", "seq")
     return got.select("seq", F.format_string("review-%04d", "seq").alias("item_id"), "canonical", "alias", "similarity", F.lit("").alias("context"))
 
 

@@ -51,6 +51,11 @@ def violations(triples: DataFrame, rule_set: DataFrame) -> DataFrame:
     return rest.withColumn("reason", reason)
 
 
+def reject_lines(bad: DataFrame) -> DataFrame:
+    """violations() as lines of a report, in their order."""
+    return bad.orderBy("seq").select(F.format_string("REJECT %s -[%s]-> %s: %s", "subject.name", "predicate", "object.name", "reason").alias("line"))
+
+
 def coverage(triples: DataFrame, rule_set: DataFrame) -> DataFrame:
     """The share of triples that are allowed; 1 without triples."""
     own = _marked(rule_set).withColumn("__hit", F.lit(1.0))

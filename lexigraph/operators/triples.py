@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_key
+from ..plans.tables import cut
 
 
 def keyed(triples: DataFrame, fold: str = "casefold") -> DataFrame:
@@ -60,16 +61,16 @@ def entity_types(triples: DataFrame, fold: str = "casefold") -> DataFrame:
     return mentions(triples).groupBy(norm_key("name", fold).alias("name")).agg(F.max_by("entity_type", "mention").alias("entity_type"))
 
 
-def fixed_batches(rows: DataFrame, size: int, order: str = "seq") -> DataFrame:
+def fixed_batches(rows: DataFrame, size: int, order: str | list[str] = "seq") -> DataFrame:
     """batch: floor((place - 1) / size) over a total order. Places come from counts by range partition, not from one task.
 
     The rows are range-partitioned and numbered inside each partition; the partitions' counts, as many as there are partitions, give
-    each its start.
+    each its start. The partitions are written first: planned twice, their sampled bounds could differ.
     """
-    spark = rows.sparkSession
+    spark, by = rows.sparkSession, [order] if isinstance(order, str) else order
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, order).withColumn("__part", F.spark_partition_id())
+    ranged = cut(rows.repartitionByRange(parts, *by).withColumn("__part", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("__part").agg(F.count("*").alias("n"))
     starts = F.broadcast(counts.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start")))
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(order)) + F.col("__start")
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*by)) + F.col("__start")
     return ranged.join(starts, "__part").withColumn("batch", F.floor((place - 1) / size)).drop("__part", "__start")

@@ -5,10 +5,11 @@ Every limit has a total order under it, so results don't depend on how rows were
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..types import CONCEPT, INFERRED_DOC
+from .tables import cut, drop_cut
 
 
 def _ends(edges: DataFrame) -> DataFrame:
@@ -89,8 +90,6 @@ def anchors(edges: DataFrame, names: list[str], k: int = 25, hint: str | None =
 
     hint: only this predicate. max_degree: anchors with more edges than that give none without a hint.
     """
-    from pyspark.sql import Window
-
     got = _ends(edges.filter(F.col("subject").isin(names) | F.col("object").isin(names))).filter(F.col("name").isin(names))
     if hint is not None:
         got = got.filter(F.col("predicate") == hint)
@@ -103,8 +102,6 @@ def anchors(edges: DataFrame, names: list[str], k: int = 25, hint: str | None =
 
 def top_hops(edges: DataFrame, k: int = 3) -> DataFrame:
     """anchors() for all nodes at once."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("name").orderBy(F.desc_nulls_last("confidence"), "predicate", "other", "subject")
     return _ends(edges).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("name", "rank", "predicate", "other", "confidence")
 
@@ -112,29 +109,55 @@ def top_hops(edges: DataFrame, k: int = 3) -> DataFrame:
 def shortest_paths(edges: DataFrame, source: str, target: str, hops: int = 3, limit: int = 3) -> DataFrame:
     """The shortest undirected paths of at most so many edges, as (hops, path, all_inferred), in the order of path.
 
-    The search goes from both ends: the middle meets, so no frontier is wider than half the hops make it.
+    The search goes from both ends, so no frontier is wider than half the hops make it. A frontier holds nodes that no
+    earlier one held and, for each, the `limit` least paths to it: those of one length only compete at their own end, so
+    the least whole paths are among their combinations.
     """
-    both = _ends(edges).select(F.col("name").alias("u"), F.col("other").alias("v"), F.coalesce("inferred", F.lit(False)).alias("inferred")).filter("u <> v").groupBy("u", "v").agg(F.min("inferred").alias("inferred"))
+    if hops < 1:
+        raise ValueError("hops must be positive")
     spark = edges.sparkSession
     if source == target:
-        return spark.createDataFrame([(0, [source], False)], "hops int, path array<string>, all_inferred boolean").filter(F.lit(not edges.filter((F.col("subject") == source) | (F.col("object") == source)).isEmpty()))
-
-    def grow(front: DataFrame) -> DataFrame:
-        return front.join(both, front["end"] == both["u"]).filter(~F.array_contains("path", F.col("v"))).select(F.col("v").alias("end"), F.array_append("path", F.col("v")).alias("path"), (F.col("all") & F.col("inferred")).alias("all"))
+        known = not edges.filter((F.col("subject") == source) | (F.col("object") == source)).isEmpty()
+        return spark.createDataFrame([(0, [source], False)] if known else [], "hops int, path array<string>, all_inferred boolean")
+    ends = _ends(edges.select("subject", "object", F.coalesce("inferred", F.lit(False)).alias("inferred")).filter("subject <> object"))
+    front = lambda name: spark.createDataFrame([(name, [name], True)], "end string, path array<string>, all boolean")
+    sides, seen = [front(source), front(target)], [front(source).select("end"), front(target).select("end")]
+    used: list[DataFrame] = []
+
+    def grow(k: int) -> None:
+        step = sides[k].join(ends, F.col("end") == F.col("name")).groupBy("end", "path", "all", "other").agg(F.min("inferred").alias("inferred"))
+        new = step.select(F.col("other").alias("end"), (F.array_append("path", F.col("other")) if not k else F.array_prepend("path", F.col("other"))).alias("path"), (F.col("all") & F.col("inferred")).alias("all"))
+        best = Window.partitionBy("end").orderBy(F.array_join("path", "\x01"))
+        new = new.join(seen[k], "end", "left_anti").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= limit).drop("nth")
+        sides[k] = cut(new, "front")
+        seen[k] = seen[k].unionByName(sides[k].select("end"))
+        used.append(sides[k])
 
-    one = lambda name: spark.createDataFrame([(name, [name], True)], "end string, path array<string>, all boolean")
-    left, right, done = one(source), one(target), 0
     for n in range(1, hops + 1):
-        if n % 2:
-            left = grow(left)
-        else:
-            right = grow(right)
-        back = right.select("end", F.reverse("path").alias("tail"), F.col("all").alias("tail_all"))
-        met = left.join(back, "end").select(F.lit(n).alias("hops"), F.concat(F.slice("path", 1, F.size("path") - 1), "tail").alias("path"), (F.col("all") & F.col("tail_all")).alias("all_inferred"))
-        met = met.filter(F.size(F.array_distinct("path")) == F.size("path")).orderBy(F.array_join("path", "\x01")).limit(limit)
-        if n == hops or not met.isEmpty():
-            return met
-    raise ValueError("hops must be positive")
+        grow((n + 1) % 2)
+        left, right = sides[0], sides[1].select("end", F.col("path").alias("tail"), F.col("all").alias("tail_all"))
+        met = left.join(right, "end").select(F.lit(n).alias("hops"), F.concat(F.slice("path", 1, F.size("path") - 1), "tail").alias("path"), (F.col("all") & F.col("tail_all")).alias("all_inferred"))
+        found = met.orderBy(F.array_join("path", "\x01")).limit(limit).collect()  # limit rows
+        if found or n == hops:
+            for t in used:
+                drop_cut(t)
+            return spark.createDataFrame(found, "hops int, path array<string>, all_inferred boolean")
+    raise AssertionError
+
+
+def answers(paths: DataFrame) -> DataFrame:
+    """Paths that may answer a question: one of inferred edges alone is no answer."""
+    return paths.filter(~F.col("all_inferred"))
+
+
+def by_document(edges: DataFrame, doc_id: str, prefix: bool = False) -> DataFrame:
+    """Edges that rest on a document, or on those whose id begins so."""
+    return edges.filter(F.startswith("source_doc_id", F.lit(doc_id)) if prefix else F.col("source_doc_id") == doc_id)
+
+
+def inferred_only(edges: DataFrame, limit: int = 50) -> DataFrame:
+    """Inferred edges in the order of their keys."""
+    return edges.filter("inferred").orderBy("subject", "predicate", "object").limit(limit)
 
 
 def grounding(edges: DataFrame, documents: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """The graph store: keyed node and edge tables in versioned folders, changed by merges.
 
-A version is a folder of two Parquet tables and a state table; the file CURRENT names the version in force and is replaced
-last, so a reader sees a whole version and a writer that is lost midway leaves the last one. One writer is assumed.
+A version is a folder of two Parquet tables, named by a growing number; an empty file DONE, made last, puts it in force.
+The version in force is the newest with that file, so readers see whole versions at all times, and a writer that is lost
+midway leaves the last one in force. Nothing is renamed or replaced. One writer is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from dataclasses import dataclass
@@ -13,20 +15,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import norm_key
 from ..operators.triples import edge_rows, node_rows
-from ..types import EDGE, NODE
+from ..types import EDGE, NODE, LoadConfig
 from . import reads
+from .tables import cut, drop_cut
 
 
 @dataclass(frozen=True)
 class LoadStats:
+    """What one load wrote: its own node and edge rows, the batches of batch_size rows that they make, writes that were tried again."""
+
     nodes: int
     relationships: int
     skipped_self_loops: int
     seconds: float
+    batches: int = 0
+    retries: int = 0
 
     def __str__(self) -> str:
-        return f"{self.nodes} nodes, {self.relationships} relationships, {self.skipped_self_loops} self-loops skipped, {self.seconds:.2f}s"
+        return f"{self.nodes} nodes, {self.relationships} relationships in {self.batches} batches, {self.skipped_self_loops} self-loops skipped, {self.retries} retries, {self.seconds:.2f}s"
 
 
 def merge_nodes(nodes: DataFrame, new: DataFrame) -> DataFrame:
@@ -49,16 +57,26 @@ def delete_documents(edges: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 
 class GraphStore:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, how: LoadConfig = LoadConfig()):
+        self.spark, self.path, self.how = spark, path.rstrip("/"), how
+        self._retries = 0
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _folders(self) -> list[str]:
+        """All version folders, the oldest first, whether they were finished or not."""
+        top, fs = self._fs(self.path)
+        return sorted(n for s in (fs.listStatus(top) if fs.exists(top) else []) if s.isDirectory() and (n := s.getPath().getName())[:1] == "v" and n[1:].isdigit())
+
+    def _finished(self, version: str) -> bool:
+        done, fs = self._fs(f"{self.path}/{version}/DONE")
+        return fs.exists(done)
+
     def version(self) -> str | None:
-        p, fs = self._fs(f"{self.path}/CURRENT")
-        return self.spark.read.text(str(p)).first()[0] if fs.exists(p) else None
+        """The version in force; None only where no write ever ended."""
+        return next((v for v in reversed(self._folders()) if self._finished(v)), None)
 
     def _table(self, name: str, schema: str) -> DataFrame:
         v = self.version()
@@ -72,31 +90,40 @@ class GraphStore:
     def edges(self) -> DataFrame:
         return self._table("edges", EDGE)
 
+    def _write(self, df: DataFrame, path: str) -> None:
+        """Written whole, and tried again as often as the settings say."""
+        for left in range(self.how.max_retries, -1, -1):
+            try:
+                return df.write.mode("overwrite").parquet(path)
+            except Exception:
+                if not left:
+                    raise
+                self._retries += 1
+
     def _commit(self, nodes: DataFrame, edges: DataFrame) -> str:
-        v = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        nodes.write.parquet(f"{self.path}/{v}/nodes")
-        edges.write.parquet(f"{self.path}/{v}/edges")
-        self._point(v)
+        v = f"v{int((self._folders() or ['v0'])[-1][1:]) + 1:012d}"
+        self._write(nodes, f"{self.path}/{v}/nodes")
+        self._write(edges, f"{self.path}/{v}/edges")
+        done, fs = self._fs(f"{self.path}/{v}/DONE")
+        fs.create(done, False).close()
         return v
 
-    def _point(self, version: str) -> None:
-        new, fs = self._fs(f"{self.path}/.CURRENT-{uuid.uuid4().hex}")
-        out = fs.create(new, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        old, _ = self._fs(f"{self.path}/CURRENT")
-        if fs.exists(old):
-            fs.delete(old, False)
-        fs.rename(new, old)
-
-    def upsert(self, triples: DataFrame, fold: str = "casefold") -> LoadStats:
-        """Nodes first, then edges between known nodes. Repeating a load changes nothing."""
-        began = time.time()
-        nodes = merge_nodes(self.nodes, node_rows(triples))
-        edges = merge_edges(self.edges, edge_rows(triples, fold), nodes)
-        loops = triples.filter(F.lower("subject.name") == F.lower("object.name")).count()
-        self._commit(nodes, edges)
-        return LoadStats(self.nodes.count(), self.edges.count(), loops, time.time() - began)
+    def upsert(self, triples: DataFrame, fold: str = "casefold", instead_of: DataFrame | None = None) -> LoadStats:
+        """Nodes first, then edges between known nodes, as one new version. Repeating a load changes nothing.
+
+        instead_of: documents (column doc_id) whose edges go in the same version.
+        """
+        began, self._retries = time.time(), 0
+        own = cut(triples, "load")  # what the caller's plan costs is paid once
+        nodes = merge_nodes(self.nodes, node_rows(own))
+        old = self.edges if instead_of is None else delete_documents(self.edges, instead_of)
+        v = self._commit(nodes, merge_edges(old, edge_rows(own, fold), nodes))
+        stored = self.spark.read.schema(NODE).parquet(f"{self.path}/{v}/nodes")
+        n, e = node_rows(own).count(), merge_edges(self.edges.limit(0), edge_rows(own, fold), stored).count()
+        loops = own.filter(norm_key("subject.name", fold) == norm_key("object.name", fold)).count()
+        drop_cut(own)
+        size = self.how.batch_size
+        return LoadStats(n, e, loops, time.time() - began, -(-n // size) - (-e // size), self._retries)
 
     def delete(self, doc_ids: DataFrame) -> None:
         self._commit(self.nodes, delete_documents(self.edges, doc_ids))
@@ -114,18 +141,28 @@ class GraphStore:
             return False
 
     def snapshot(self, to: str) -> str:
-        """A copy of the current version, in a folder of its own under to; its path."""
+        """A copy of the current version, in a folder of its own under to, with its tables' row counts; its path."""
         path = f"{to.rstrip('/')}/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:6]}"
-        self.nodes.write.parquet(f"{path}/nodes")
-        self.edges.write.parquet(f"{path}/edges")
+        self._write(self.nodes, f"{path}/nodes")
+        self._write(self.edges, f"{path}/edges")
+        file, fs = self._fs(f"{path}/counts.json")
+        out = fs.create(file, False)
+        out.write(bytearray(json.dumps({"nodes": self.nodes.count(), "edges": self.edges.count()}).encode()))
+        out.close()
         return path
 
     def verify(self, snapshot: str) -> bool:
-        """Whether a snapshot's tables can be read whole."""
+        """Whether a snapshot's tables can be read whole and hold as many rows as were written."""
         try:
-            return all(self.spark.read.schema(s).parquet(f"{snapshot}/{n}").count() >= 0 for n, s in (("nodes", NODE), ("edges", EDGE)))
+            counts = json.loads(self.spark.read.text(f"{snapshot}/counts.json").first()[0])
+            for name, schema in (("nodes", NODE), ("edges", EDGE)):
+                rows = self.spark.read.schema(schema).parquet(f"{snapshot}/{name}")
+                every = rows.agg(F.count("*"), F.max(F.xxhash64(*rows.columns))).first()  # reads all columns
+                if every[0] != counts[name]:
+                    return False
         except Exception:
             return False
+        return True
 
     def restore(self, snapshot: str, confirm: bool = False) -> None:
         """Makes a snapshot the current version."""
@@ -134,12 +171,12 @@ class GraphStore:
         self._commit(self.spark.read.schema(NODE).parquet(f"{snapshot}/nodes"), self.spark.read.schema(EDGE).parquet(f"{snapshot}/edges"))
 
     def prune(self, keep: int = 3) -> list[str]:
-        """Removes all but the newest versions; the names of those that went."""
-        top, fs = self._fs(self.path)
-        names = sorted(s.getPath().getName() for s in fs.listStatus(top) if s.isDirectory() and s.getPath().getName().startswith("v"))
-        gone = [n for n in names[:-keep] if n != self.version()]
-        for n in gone:
-            p, _ = self._fs(f"{self.path}/{n}")
+        """Removes all but the newest finished versions, and what lost writers left before them; the names of those that went."""
+        every = self._folders()
+        kept = [v for v in every if self._finished(v)][-max(1, keep) :]
+        gone = [v for v in every if kept and v < kept[-1] and v not in kept]
+        for v in gone:
+            p, fs = self._fs(f"{self.path}/{v}")
             fs.delete(p, True)
         return gone
 
@@ -173,9 +210,12 @@ class GraphStore:
         rows = self.graph(limit)
         return lines(reads.view_nodes(rows), reads.view_edges(rows))
 
-    def replay(self, doc_id: str, triples: DataFrame) -> LoadStats:
-        """One document anew: its edges go, those of triples come."""
-        self.delete(self.spark.createDataFrame([(doc_id,)], "doc_id string"))
-        return self.upsert(triples)
+    def replay(self, doc_id: str, triples: DataFrame, fold: str = "casefold") -> LoadStats:
+        """One document anew: its edges go and those of triples come, in one version."""
+        return self.upsert(triples, fold, self.spark.createDataFrame([(doc_id,)], "doc_id string"))
 
+    def by_document(self, doc_id: str, prefix: bool = False) -> DataFrame:
+        return reads.by_document(self.edges, doc_id, prefix)
 
+    def inferred_only(self, limit: int = 50) -> DataFrame:
+        return reads.inferred_only(self.edges, limit)

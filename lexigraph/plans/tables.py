@@ -12,9 +12,11 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; set here only where it is unset (local tests)."""
+    """The folder of spark.checkpoint.dir; set here only where it is unset and the session is local (tests)."""
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not conf:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="lexigraph-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,12 @@ from .functions import scores, text
 from .operators import alias, bridges, changes, chunks, ontology, resolution, similarity, triples, views
 from .operators import extraction as ex
 from .plans import fixture, reads, store
+from .plans.tables import shared_dir
 from .sources import graphml
+from .sources.completions import FirstWords
+from .streaming.changes import event_windows as windows
+from .streaming.changes import into_store
+from .types import ExtractionConfig
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,15 +43,15 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _facts(spark, sf) -> DataFrame:
-    return fixture.triples(spark, sf)
+    return fixture.loaded(spark, sf)[0]
 
 
 def _nodes(spark, sf) -> DataFrame:
-    return triples.node_rows(_facts(spark, sf))
+    return fixture.loaded(spark, sf)[1].nodes
 
 
 def _edges(spark, sf) -> DataFrame:
-    return triples.edge_rows(_facts(spark, sf), "lower")
+    return fixture.loaded(spark, sf)[1].edges
 
 
 def _view(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -116,27 +123,36 @@ def graph_limit(spark, sf):
     return reads.graph(_nodes(spark, sf), _edges(spark, sf), 500)
 
 
-@query("select 'FRANCE' as name, case when subject = 'FRANCE' then 'out' else 'in' end as direction, predicate, case when subject = 'FRANCE' then object else subject end as other, n.entity_type as other_type, confidence from e join n on n.name = case when subject = 'FRANCE' then object else subject end where subject = 'FRANCE' or object = 'FRANCE' order by confidence desc, predicate, other, direction limit 200")
+_NEAR = "select '{0}' as name, case when subject = '{0}' then 'out' else 'in' end as direction, predicate, case when subject = '{0}' then object else subject end as other, n.entity_type as other_type, confidence from e join n on n.name = case when subject = '{0}' then object else subject end where subject = '{0}' or object = '{0}' order by confidence desc, predicate, other, direction limit 200"
+
+
+@query(_NEAR.format("NATION_3"))
 def neighborhood(spark, sf):
-    return reads.neighborhood(_nodes(spark, sf), _edges(spark, sf), "FRANCE")
+    return fixture.loaded(spark, sf)[1].neighborhood("NATION_3")
+
+
+@query(_NEAR.format("small ring"))
+def neighborhood_limit(spark, sf):
+    return reads.neighborhood(_nodes(spark, sf), _edges(spark, sf), "small ring")
 
 
-_ANCHOR = ", r as (select name, row_number() over (partition by name order by confidence desc, predicate, other, subject) as rank, subject, predicate, object, confidence, source_doc_id, inferred from b where name in ('FRANCE', 'JAPAN', 'EUROPE') {}) select * from r where rank <= 25"
+_ASKED = ["NATION_3", "EUROPE", "Supplier#000000001"]
+_ANCHOR = ", r as (select name, row_number() over (partition by name order by confidence desc, predicate, other, subject) as rank, subject, predicate, object, confidence, source_doc_id, inferred from b where name in ('NATION_3', 'EUROPE', 'Supplier#000000001') {}) select * from r where rank <= 25"
 
 
 @query(f", {_BOTH}" + _ANCHOR.format(""))
 def anchor_one_hop(spark, sf):
-    return reads.anchors(_edges(spark, sf), ["FRANCE", "JAPAN", "EUROPE"])
+    return reads.anchors(_edges(spark, sf), _ASKED)
 
 
 @query(f", {_BOTH}" + _ANCHOR.format("and predicate = 'is based in'"))
 def anchor_with_hint(spark, sf):
-    return reads.anchors(_edges(spark, sf), ["FRANCE", "JAPAN", "EUROPE"], hint="is based in")
+    return reads.anchors(_edges(spark, sf), _ASKED, hint="is based in", max_degree=10)
 
 
-@query(f", {_BOTH}, c as (select name from b where name in ('FRANCE', 'JAPAN', 'EUROPE') group by name having count(*) <= 10)" + _ANCHOR.format("and name in (from c)"))
+@query(f", {_BOTH}, c as (select name from b where name in ('NATION_3', 'EUROPE', 'Supplier#000000001') group by name having count(*) <= 10)" + _ANCHOR.format("and name in (from c)"))
 def anchor_hub_guard(spark, sf):
-    return reads.anchors(_edges(spark, sf), ["FRANCE", "JAPAN", "EUROPE"], max_degree=10)
+    return reads.anchors(_edges(spark, sf), _ASKED, max_degree=10)
 
 
 @query(f", {_BOTH}, r as (select name, row_number() over (partition by name order by confidence desc, predicate, other, subject) as rank, predicate, other, confidence from b) select * from r where rank <= 3")
@@ -144,9 +160,33 @@ def all_anchors_top_hops(spark, sf):
     return reads.top_hops(_edges(spark, sf))
 
 
-@query("select 2 as hops, ['FRANCE', o1, 'GERMANY'] as path, false as all_inferred from (select distinct case when x.subject = 'FRANCE' then x.object else x.subject end as o1 from e x join e y on case when x.subject = 'FRANCE' then x.object else x.subject end = case when y.subject = 'GERMANY' then y.object else y.subject end where (x.subject = 'FRANCE' or x.object = 'FRANCE') and (y.subject = 'GERMANY' or y.object = 'GERMANY')) order by o1 limit 3")
+_PAIRS = [("NATION_3", "EUROPE"), ("NATION_3", "NATION_8"), ("EUROPE", "ASIA"), ("NATION_3", "NATION_5"), ("Supplier#000000001", "Customer#000000002"), ("EUROPE", "EUROPE")]
+_PATHS = f""", q(s, t) as (values {", ".join(map(str, _PAIRS))}), z as (select u, v, bool_and(inferred) as inf from (select subject as u, object as v, inferred from e union all select object, subject, inferred from e) group by all),
+h as (select s, t, 0 as hops, [s] as path, false as inf from q where s = t and s in (select u from z)
+union all select s, t, 1, [s, t], inf from q join z on u = s and v = t
+union all select s, t, 2, [s, x.v, t], x.inf and y.inf from q join z x on x.u = s join z y on y.v = t and y.u = x.v where s <> t and x.v <> t
+union all select s, t, 3, [s, x.v, y.u, t], x.inf and y.inf and w.inf from q join z x on x.u = s join z y on y.v = t join z w on w.u = x.v and w.v = y.u where s <> t and x.v <> t and y.u <> s),
+p as (select s as source, t as target, hops, path, inf as all_inferred from h qualify hops = min(hops) over (partition by s, t) and row_number() over (partition by s, t, hops order by array_to_string(path, chr(1))) <= 3)"""
+
+
+def _paths(spark, sf) -> DataFrame:
+    found = [reads.shortest_paths(_edges(spark, sf), a, b).select(F.lit(a).alias("source"), F.lit(b).alias("target"), "hops", "path", "all_inferred") for a, b in _PAIRS]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(_PATHS + " select * from p")
 def shortest_path_3(spark, sf):
-    return reads.shortest_paths(_edges(spark, sf), "FRANCE", "GERMANY")
+    return _paths(spark, sf)
+
+
+@query(_PATHS + " select * from p where not all_inferred")
+def path_answers(spark, sf):
+    return reads.answers(_paths(spark, sf))
+
+
+@query("select subject, predicate, object, confidence, source_doc_id, inferred from e where inferred order by subject, predicate, object limit 10")
+def inferred_edges(spark, sf):
+    return fixture.loaded(spark, sf)[1].inferred_only(10)
 
 
 @query("select subject, predicate, object, confidence, case when confidence < 0.5 then 'drop' when confidence <= 0.7 then 'supporting' else 'primary' end as band, case when confidence >= 0.8 then 'high' when confidence >= 0.5 then 'mid' else 'low' end as badge, 1 + 4 * greatest(0, least(1, confidence)) as width from e")
@@ -154,21 +194,26 @@ def confidence_bands(spark, sf):
     return _edges(spark, sf).select("subject", "predicate", "object", "confidence", scores.band("confidence").alias("band"), scores.badge("confidence").alias("badge"), scores.edge_width("confidence").alias("width"))
 
 
-@query("select subject, predicate, object, source_doc_id as doc_id from e where source_doc_id in (select 'order/' || o_orderkey from orders where o_orderpriority like '1%')")
+@query(", d as (select 'order/' || o_orderkey as doc_id from orders where o_orderpriority like '1%' union select 'nation/' || n_nationkey from nation), s as (select * from e where source_doc_id <> '__inference__'), k as (select subject as name, source_doc_id as doc from s union select object, source_doc_id from s), g as (select subject, predicate, object, source_doc_id as doc_id from s union select subject, predicate, object, doc from e join k on name in (subject, object) where source_doc_id = '__inference__') select * from g where doc_id in (from d)")
 def grounding(spark, sf):
-    docs = _t(spark, sf, "orders").filter("o_orderpriority like '1%'").select(F.concat(F.lit("order/"), F.col("o_orderkey").cast("string")).alias("doc_id"))
-    return reads.grounding(_edges(spark, sf), docs)
+    orders = _t(spark, sf, "orders").filter("o_orderpriority like '1%'").select(F.concat(F.lit("order/"), F.col("o_orderkey").cast("string")).alias("doc_id"))
+    return reads.grounding(_edges(spark, sf), orders.unionByName(_t(spark, sf, "nation").select(F.concat(F.lit("nation/"), F.col("n_nationkey").cast("string")).alias("doc_id"))))
 
 
 @query("select subject, predicate, object, source_doc_id from e where starts_with(source_doc_id, 'supplier/')")
 def edges_by_document(spark, sf):
-    return _edges(spark, sf).filter(F.startswith("source_doc_id", F.lit("supplier/"))).select("subject", "predicate", "object", "source_doc_id")
+    return fixture.loaded(spark, sf)[1].by_document("supplier/", prefix=True).select("subject", "predicate", "object", "source_doc_id")
+
 
+@query("select subject, predicate, object, source_doc_id from e where source_doc_id = 'nation/3'")
+def edges_of_one_document(spark, sf):
+    return fixture.loaded(spark, sf)[1].by_document("nation/3").select("subject", "predicate", "object", "source_doc_id")
 
-@query("select i as place, q as query, anchor from (select 0 as i, 'FRANCE' as q, 'FRANCE' as anchor union all select 1, 'Hexagone', 'france') where q <> 'FRANCE' or q in (select name from n)")
+
+@query(", q(place, query) as (values (0, 'EUROPE'), (1, 'Hexagone'), (2, 'nowhere'), (3, 'NATION_7')) select place, query, coalesce(n.name, case when lower(trim(query)) = 'hexagone' then 'NATION_3' end) as anchor from q left join n on n.name = query where coalesce(n.name, case when lower(trim(query)) = 'hexagone' then 'NATION_3' end) is not null")
 def entity_linking(spark, sf):
-    table = spark.createDataFrame([("hexagone", "france")], "alias string, canonical string")
-    return reads.link_entities(_nodes(spark, sf), table, ["FRANCE", "Hexagone", "nowhere"])
+    table = spark.createDataFrame([("hexagone", "NATION_3"), ("europe", "wrong")], "alias string, canonical string")
+    return reads.link_entities(_nodes(spark, sf), table, ["EUROPE", "Hexagone", "nowhere", "NATION_7"])
 
 
 # triples
@@ -209,10 +254,10 @@ def entity_types_last_wins(spark, sf):
     return triples.entity_types(_facts(spark, sf), "lower")
 
 
-@query("select l_orderkey, l_linenumber, l_discount as raw, round(l_discount * 3 * (case when l_linenumber % 2 = 0 then 1.0 else 0.8 end)::double, 4) as calibrated from lineitem where l_discount * 3 <= 1", "")
+@query("select l_orderkey, l_linenumber, l_quantity / 40 as raw, round(least(1.0::double, l_quantity / 40) * (case when l_linenumber % 2 = 0 then 1.0 else 0.8 end)::double, 4) as calibrated from lineitem", "")
 def calibrated(spark, sf):
-    rows = _t(spark, sf, "lineitem").filter("l_discount * 3 <= 1")
-    return rows.select("l_orderkey", "l_linenumber", F.col("l_discount").alias("raw"), scores.calibrate(F.col("l_discount") * 3, F.col("l_linenumber") % 2 == 0).alias("calibrated"))
+    raw = F.col("l_quantity") / 40
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", raw.alias("raw"), scores.calibrate(raw, F.col("l_linenumber") % 2 == 0).alias("calibrated"))
 
 
 @query("select seq, (row_number() over (order by seq) - 1) // 500 as batch from t")
@@ -234,6 +279,14 @@ def upsert_twice(spark, sf):
     return n2.agg(F.count("*").alias("nodes")).join(e2.agg(F.count("*").alias("edges"))).join(rep)
 
 
+@query("select subject, predicate, object, 0.25::double as confidence, source_doc_id from e where object not in (select name from n where entity_type = 'PRODUCT') union all select subject, predicate, object, confidence, source_doc_id from e where predicate = 'supplies'")
+def edge_merge(spark, sf):
+    """Changed edges replace stored ones; those to products, which aren't among the known nodes, vanish."""
+    nodes, edges = _nodes(spark, sf), _edges(spark, sf)
+    new = edges.withColumn("confidence", F.lit(0.25))
+    return store.merge_edges(edges.filter("predicate = 'supplies'"), new, nodes.filter("entity_type <> 'PRODUCT'")).select("subject", "predicate", "object", "confidence", "source_doc_id")
+
+
 # ontology
 
 _RULES = [("ORG", "IS BASED IN", "GPE"), ("PERSON", "ordered", "PRODUCT"), ("person", "lives in", "GPE")]
@@ -270,6 +323,11 @@ def ontology_difference(spark, sf):
     return ontology.difference(ontology.mine(_facts(spark, sf)), ontology.rules(spark))
 
 
+@query(f"select 'REJECT ' || s || ' -[' || p || ']-> ' || o || ': no ontology rule allows ' || st || ' -[' || p || ']-> ' || ot as line from t where not {_MATCH}")
+def reject_lines(spark, sf):
+    return ontology.reject_lines(ontology.violations(_facts(spark, sf), ontology.rules(spark, _RULES)))
+
+
 @query("select distinct st as subject_type, p as predicate, ot as object_type from t union select * from (values ('A', 'b', 'C')) x")
 def ontology_merged(spark, sf):
     return ontology.merge(ontology.mine(_facts(spark, sf)), ontology.rules(spark, [("A", "b", "C")]))
@@ -288,16 +346,27 @@ def _islands(spark, sf) -> DataFrame:
 _ISLANDS = _WITH + ", i as (select seq, lower(s) as s, st, case when p = 'is based in' then 'site ' || lower(o) else lower(o) end as o, ot from t where p in ('is part of', 'is based in')), c as (select distinct s as name, o as component from i), g as (select name, component from c union select component, component from c), h as (select name, min(m) over (partition by component) as component from (select g.name, g.component, least(g.name, g.component) as m from g))"
 
 
-@query("select name, min(component) as component from h group by name", _ISLANDS)
+def _spread(rounds: int = 12) -> str:
+    """Least names spread along edges, a step a round; the graph's diameter is less than the rounds."""
+    steps = ", ".join(f"r{i + 1} as materialized (select r{i}.name, least(r{i}.c, coalesce(k.c, r{i}.c)) as c from r{i} left join (select a, min(c) as c from cb join r{i} on name = b group by a) k on k.a = r{i}.name)" for i in range(rounds))
+    return f", ce as materialized (select distinct lower(s) as a, lower(o) as b from t where lower(s) <> lower(o)), cb as materialized (select * from ce union select b, a from ce), r0 as materialized (select distinct a as name, a as c from cb), {steps}, cc as (select name, c as component from r{rounds})"
+
+
+@query(_spread() + " select name, component from cc")
 def components(spark, sf):
     return bridges.entity_components(_facts(spark, sf), "lower")
 
 
-@query(", k as (select name, min(component) as component from h group by name) select count(distinct component) as components, count(*) as entities, (select max(n) from (select count(*) as n from k group by component)) as largest from k", _ISLANDS)
+@query(_spread() + " select count(distinct component) as components, count(*) as entities, (select max(n) from (select count(*) as n from cc group by component)) as largest from cc")
 def component_report(spark, sf):
     return bridges.component_report(_facts(spark, sf), "lower")
 
 
+@query(", k as (select name, min(component) as component from h group by name) select name, component from k", _ISLANDS)
+def components_of_islands(spark, sf):
+    return bridges.entity_components(_islands(spark, sf), "lower")
+
+
 _BRIDGES = """, k as (select name, min(component) as component from h group by name),
 a as (select s as name, 2 * seq as mention, st as type from i union all select o, 2 * seq + 1, ot from i),
 y as (select name, arg_max(type, mention) as type, min(mention) as first from a group by name),
@@ -360,7 +429,7 @@ def rewrite_triples(spark, sf):
     return _flat(resolution.rewrite(facts, mapping))
 
 
-@query("select a.vec_id as left_id, b.vec_id as right_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as similarity from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id where a.vec_id % 50 = 0", "")
+@query("select a.vec_id as left_id, b.vec_id as right_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as similarity from embeddings a join embeddings b on a.vec_id < b.vec_id where list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= 0.3", "")
 def dense_cosine(spark, sf):
     e = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
     return similarity.dense_pairs(e, 0.3).withColumn("similarity", F.round("similarity", 6))
@@ -440,9 +509,9 @@ def legend_counts(spark, sf):
     return views.legend(_view(spark, sf)[0])
 
 
-@query("select n.entity_type as type, count(*) as count from (select case when source = 'FRANCE' then target else source end as id from v where source = 'FRANCE' or target = 'FRANCE') join n on n.name = id group by 1", _VIEW)
+@query("select n.entity_type as type, count(*) as count from (select case when source = 'NATION_3' then target else source end as id from v where source = 'NATION_3' or target = 'NATION_3') join n on n.name = id group by 1", _VIEW)
 def related_types(spark, sf):
-    return views.related_types(*_view(spark, sf), "FRANCE")
+    return views.related_types(*_view(spark, sf), "NATION_3")
 
 
 @query("select source || '-->' || target as id, source, target, string_agg(predicate, ', ' order by seq) as predicate, arg_min(confidence, seq) as confidence from v group by source, target", _VIEW)
@@ -460,9 +529,9 @@ def parallel_index(spark, sf):
     return views.parallel_index(_view(spark, sf)[1]).select("seq", "source", "target", "parallel_index", "parallel_count")
 
 
-@query("select seq, predicate, case when source = 'FRANCE' then 'out' else 'in' end as direction from v where source = 'FRANCE' or target = 'FRANCE'", _VIEW)
+@query("select seq, predicate, case when source = 'EUROPE' then 'out' else 'in' end as direction from v where source = 'EUROPE' or target = 'EUROPE'", _VIEW)
 def direction_split(spark, sf):
-    return views.directions(_view(spark, sf)[1], "FRANCE").select("seq", "predicate", "direction")
+    return views.directions(_view(spark, sf)[1], "EUROPE").select("seq", "predicate", "direction")
 
 
 @query("select name as id, name as label, entity_type as type from n where contains(lower(name), 'ia') order by label limit 6")
@@ -480,7 +549,7 @@ def node_degrees(spark, sf):
     return views.degrees(_view(spark, sf)[1])
 
 
-@query("select seq, case when confidence is null then predicate else predicate || printf(' (%.2f)', confidence) end as label from v where predicate <> 'supplies'", _VIEW)
+@query("select seq, case when confidence is null then predicate else predicate || printf(' (%.2f)', confidence) end as label from v", _VIEW)
 def edge_labels(spark, sf):
     return _view(spark, sf)[1].select("seq", views.edge_label(True).alias("label"))
 
@@ -491,6 +560,17 @@ def self_loops(spark, sf):
     return loops.agg(F.count("*").alias("loops")).join(others.agg(F.count("*").alias("others")))
 
 
+@query("select seq, source || ' —' || predicate || '→ ' || target || ' · confidence ' || printf('%.2f', v.confidence) || case when inf then ' · inferred' else '' end as tooltip, case when inf then 1 else 2 end as z_index from v join t using (seq)", _VIEW)
+def edge_tooltips(spark, sf):
+    return _view(spark, sf)[1].select("seq", views.edge_tooltip().alias("tooltip"), scores.z_index("inferred").alias("z_index"))
+
+
+@query(", d as (select name, count(*) as degree from (select source as name from v union all select target from v where source <> target) group by name) select n.name as id, coalesce(degree, 0) as degree, 18 + least(coalesce(degree, 0), 20) / 20 * 24 as size, 'legend-' || lower(entity_type) as legend, n.name || ' · ' || entity_type as tooltip, 'node details: ' || n.name as title from n left join d on d.name = n.name", _VIEW)
+def node_sizes(spark, sf):
+    nodes, edges = _view(spark, sf)
+    return views.node_sizes(nodes, edges).select("id", "degree", "size", text.legend_id("type").alias("legend"), views.node_tooltip().alias("tooltip"), text.panel_title("label").alias("title"))
+
+
 # text
 
 _SENTENCES = r"string_split(regexp_replace(coalesce(text, ''), '([.!?])([ \n\t])', '\1' || chr(1) || '\2', 'g'), chr(1))"
@@ -527,17 +607,30 @@ def highlights(spark, sf):
     return _t(spark, sf, "part").select("p_partkey", h["before"].alias("before"), h["match"].alias("match"), h["after"].alias("after"))
 
 
-@query()
+_STRIP = "trim({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160))"
+#: Sentences packed into windows, then windows with their overlaps, each by one step for a row; the last row of a chunk has its end.
+_CHUNKS = f"""with recursive d as (select doc_id, coalesce(text, '') as t from documents),
+p as (select doc_id, list_transform(list_filter({_SENTENCES.replace("coalesce(text, '')", "t")}, lambda x: x <> ''), lambda x: length(x)) as n from d where {_STRIP.format("t")} <> ''),
+s as (select doc_id, i, (list_sum(n[1:i]) - n[i])::int as a, list_sum(n[1:i])::int as z from p, unnest(range(1, len(n) + 1)) as u(i)),
+w as (select doc_id, i, 0 as win, a, z from s where i = 1 union all select s.doc_id, s.i, case when s.z - w.a > 1200 then w.win + 1 else w.win end, case when s.z - w.a > 1200 then s.a else w.a end, s.z from w join s on s.doc_id = w.doc_id and s.i = w.i + 1),
+v as (select doc_id, win, case when win > 0 then greatest(0, min(a) - 120) else min(a) end as a, max(z) as z from w group by doc_id, win),
+x as (select v.*, length({_STRIP.format("substring(t, a + 1, z - a)")}) as n from v join d using (doc_id)),
+c as (select doc_id, win, win as idx, a, z from x where win = 0 union all select x.doc_id, x.win, case when x.n < 200 then c.idx else x.win end, case when x.n < 200 then c.a else x.a end, x.z from c join x on x.doc_id = c.doc_id and x.win = c.win + 1),
+k as (select doc_id, idx, min(a) as a, max(z) as z from c group by doc_id, idx),
+chunk as (select doc_id::varchar as doc_id, idx, {_STRIP.format("substring(t, a + 1, z - a)")} as text, a, z from k join d using (doc_id))"""
+
+
+@query('select doc_id, idx::int as "index", text, a::int as "start", z::int as "end" from chunk', _CHUNKS)
 def document_chunks(spark, sf):
     return chunks.chunk(_t(spark, sf, "documents"))
 
 
-@query()
+@query("select d.doc_id::varchar as doc_id, count(idx)::int as count, coalesce(min(length(chunk.text)), 0)::int as min, coalesce(sum(length(chunk.text)) // count(idx), 0)::int as mean, coalesce(max(length(chunk.text)), 0)::int as max from d left join chunk on chunk.doc_id = d.doc_id::varchar group by d.doc_id", _CHUNKS)
 def chunk_stats(spark, sf):
     return chunks.chunk_stats(_t(spark, sf, "documents"))
 
 
-@query()
+@query(', o as (select doc_id, idx, row_number() over (partition by doc_id order by idx) as i, greatest(1, ceil(length(text) / 4))::int as tokens from chunk), b as (select doc_id, idx, i, tokens, 0 as batch, tokens as used from o where i = 1 union all select o.doc_id, o.idx, o.i, o.tokens, case when b.used + o.tokens > 600 then b.batch + 1 else b.batch end, case when b.used + o.tokens > 600 then o.tokens else b.used + o.tokens end from b join o on o.doc_id = b.doc_id and o.i = b.i + 1) select doc_id, idx::int as "index", tokens, batch::int as batch from b', _CHUNKS)
 def budget_batches(spark, sf):
     return chunks.budget_batches(chunks.chunk(_t(spark, sf, "documents")), 600)
 
@@ -553,7 +646,8 @@ def cost_estimate(spark, sf):
 
 def _answers(spark, sf) -> DataFrame:
     """Answers as a client might give them: prose around an array, items with a name or without."""
-    item = F.to_json(F.struct(F.struct(F.col("c_name").alias("name"), F.lit("PERSON").alias("entity_type")).alias("subject"), F.lit("  holds \t an account in ").alias("predicate"), F.struct(F.col("c_mktsegment").alias("name")).alias("object"), F.when(F.col("c_custkey") % 5 == 0, F.lit("0.9")).otherwise((F.col("c_acctbal") / 1000).cast("string")).alias("confidence")))
+    span = F.when(F.col("c_custkey") % 3 == 0, F.struct(F.lit(0).alias("start"), F.length("c_name").alias("end"), F.col("c_name").alias("text")))
+    item = F.to_json(F.struct(F.struct(F.col("c_name").alias("name"), F.lit("PERSON").alias("entity_type")).alias("subject"), F.lit("  holds \t an account in ").alias("predicate"), F.struct(F.col("c_mktsegment").alias("name")).alias("object"), F.when(F.col("c_custkey") % 5 == 0, F.lit("0.9")).otherwise((F.col("c_acctbal") / 1000).cast("string")).alias("confidence"), span.alias("source_span")))
     own = _t(spark, sf, "customer").select(F.col("c_custkey").alias("batch_id"), F.array(F.concat(F.lit("customer/"), F.col("c_custkey").cast("string"))).alias("doc_ids"), F.concat(F.lit("Here it is: ["), item, F.lit(", 7, "), item, F.when(F.col("c_custkey") % 7 == 0, F.lit(", oops")).otherwise(F.lit("")), F.lit("] done")).alias("raw"))
     return own
 
@@ -564,17 +658,58 @@ def parse_completions(spark, sf):
     return got.select("batch_id", "item", "doc_id", F.col("subject.name").alias("s"), "predicate", F.col("object.name").alias("o"), F.col("object.entity_type").alias("ot"), "confidence")
 
 
-@query("select count(*) filter (c >= 0.5) as triples, count(*) filter (c < 0.5) as dropped_low_confidence, 0 as dropped_missing_span from (select case when c_custkey % 5 = 0 then 0.9 else greatest(0, least(1, c_acctbal / 1000)) end as c from customer, (values (0), (1)) x(i) where c_custkey % 7 <> 0)", "")
+@query("select count(*) filter (c >= 0.5 and c_custkey % 3 = 0) as triples, count(*) filter (c < 0.5) as dropped_low_confidence, count(*) filter (c >= 0.5 and c_custkey % 3 <> 0) as dropped_missing_span from (select c_custkey, case when c_custkey % 5 = 0 then 0.9 else greatest(0, least(1, c_acctbal / 1000)) end as c from customer, (values (0), (1)) x(i) where c_custkey % 7 <> 0)", "")
 def extraction_counters(spark, sf):
-    return ex.counters(ex.parse(_answers(spark, sf)), ex.ExtractionConfig(min_confidence=0.5))
+    return ex.counters(ex.parse(_answers(spark, sf)), ExtractionConfig(min_confidence=0.5, require_citations=True))
 
 
-@query("select ((doc_id) // 8)::bigint as batch_id, count(*)::int as docs from documents where doc_id is not null group by 1", "")
+@query("select c_custkey * 1000000 + i as seq, c_name as s, confidence from (select c_custkey, i, c_name, case when c_custkey % 5 = 0 then 0.9 else greatest(0, least(1, c_acctbal / 1000)) end::double as confidence from customer, (values (0), (1)) x(i) where c_custkey % 7 <> 0 and c_custkey % 3 = 0) where confidence >= 0.5", "")
+def citations_required(spark, sf):
+    got = ex.triples_of(ex.parse(_answers(spark, sf)), ExtractionConfig(min_confidence=0.5, require_citations=True))
+    return got.select("seq", F.col("subject.name").alias("s"), "confidence")
+
+
+@query("select batch_id, count(*)::int as docs from (select ((row_number() over (order by doc_id) - 1) // 8)::bigint as batch_id from documents) group by batch_id", "")
 def extraction_batches(spark, sf):
     docs = _t(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     return ex.batches(docs, 8).select("batch_id", F.size("doc_ids").alias("docs"))
 
 
+_WORDS = r"with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents), f as (select doc_id, w[1] as subject, w[2] as object from w where len(w) > 1)"
+
+
+def _corpus(spark, sf) -> DataFrame:
+    return _t(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+@query("select subject, 'comes before' as predicate, object, 0.9::double as confidence, max_by(doc_id, doc_id)::varchar as source_doc_id from f where lower(subject) <> lower(object) group by subject, object", _WORDS)
+def ingest(spark, sf):
+    """Documents to prompts, answers, triples and a stored graph."""
+    got = ex.extract_with_result(_corpus(spark, sf), FirstWords, ExtractionConfig(batch_size=8))
+    graph = store.GraphStore(spark, f"{shared_dir(spark)}/lexigraph-ingest-{uuid.uuid4().hex}")
+    graph.upsert(got.triples, "lower")
+    return graph.edges.drop("inferred")
+
+
+@query("select (select ceil(count(*) / 8)::bigint from documents) as calls, 0::bigint as retries, count(*) as triples, 0::bigint as dropped_low_confidence, 0::bigint as dropped_missing_span from f", _WORDS)
+def ingest_counters(spark, sf):
+    return ex.extract_with_result(_corpus(spark, sf), FirstWords, ExtractionConfig(batch_size=8)).stats
+
+
+@query("select subject, 'comes before' as predicate, object, max_by(doc_id, doc_id)::varchar as source_doc_id from f where lower(subject) <> lower(object) and doc_id % 10 <> 3 group by subject, object", _WORDS)
+def ingest_changes(spark, sf):
+    """A corpus is loaded, then documents go and others change; the store ends as if the last state had been loaded."""
+    docs = _corpus(spark, sf).withColumn("old", F.col("seq") % 10 == 1)
+    before = docs.withColumn("text", F.when(F.col("old"), F.concat(F.lit("zz old "), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))).filter("seq % 10 <> 7")
+    now = docs.filter("seq % 10 <> 3")
+    graph = store.GraphStore(spark, f"{shared_dir(spark)}/lexigraph-ingest-{uuid.uuid4().hex}")
+    triples_of = lambda d: ex.extract(d.select("seq", "doc_id", "text"), FirstWords)
+    graph.upsert(triples_of(before), "lower")
+    state = lambda d: d.select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("checksum"), F.lit(0.0).alias("modified_at"))
+    into_store(graph, lambda: now, triples_of, "lower")(changes.diff(state(before), state(now)))
+    return graph.edges.select("subject", "predicate", "object", "source_doc_id")
+
+
 # changes
 
 _STATES = "with b as (select doc_id, sha256(text) as c from documents where doc_id % 10 <> 3), a as (select doc_id, sha256(case when doc_id % 10 = 1 then text || '!' else text end) as c from documents where doc_id % 10 <> 7), ev as (select coalesce(a.doc_id, b.doc_id)::varchar as doc_id, case when a.doc_id is null then 'delete' else 'upsert' end as kind, coalesce(a.c, b.c) as checksum from a full join b on a.doc_id = b.doc_id where a.doc_id is null or b.doc_id is null or a.c <> b.c)"
@@ -600,7 +735,22 @@ def cdc_summary(spark, sf):
 # files
 
 
-@query()
+def _xml(c: str) -> str:
+    for raw, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&apos;")):
+        c = f"replace({c}, '{raw}', '{name}')"
+    return c
+
+
+_DATA = "'      <data key=\"{}\">' || {} || '</data>' || chr(10)"
+_GRAPHML = f""", r as (select n.name as source, n.entity_type as st, e.predicate, e.object as target, k.entity_type as tt, e.confidence from n left join e on e.subject = n.name left join n k on k.name = e.object order by 1, 3 nulls first, 4 nulls first limit 500),
+h as (select id, max(type) as type from (select source as id, st as type from r union all select target, tt from r where target is not null) group by id),
+g as (select *, source || '|' || predicate || '|' || target as id, row_number() over (order by source || '|' || predicate || '|' || target) - 1 as at from r where predicate is not null)
+select 0 as kind, '' as id, '{graphml._HEAD.replace(chr(10), "' || chr(10) || '")}' as line union all select 3, '', '  </graph>' || chr(10) || '</graphml>'
+union all select 1, id, '    <node id="' || {_xml("id")} || '">' || chr(10) || {_DATA.format("label", _xml("id"))} || {_DATA.format("type", _xml("type"))} || '    </node>' from h
+union all select 2, id, '    <edge id="e' || at || '" source="' || {_xml("source")} || '" target="' || {_xml("target")} || '">' || chr(10) || {_DATA.format("predicate", _xml("predicate"))} || {_DATA.format("confidence", "rtrim(rtrim(printf('%.15f', confidence), '0'), '.')")} || '    </edge>' from g"""
+
+
+@query(_GRAPHML)
 def graphml_lines(spark, sf):
     rows = reads.graph(_nodes(spark, sf), _edges(spark, sf), 500)
     return graphml.lines(reads.view_nodes(rows), reads.view_edges(rows))
@@ -608,6 +758,4 @@ def graphml_lines(spark, sf):
 
 @query("select time_bucket(interval 1 hour, ts) as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all", "")
 def event_windows(spark, sf):
-    from .streaming.changes import event_windows as windows
-
     return windows(_t(spark, sf, "events"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import math
+import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -19,6 +23,32 @@ class ExtractionError(RuntimeError):
     pass
 
 
+class Unanswered(Exception):
+    """A reply that trying again won't mend."""
+
+
+class Hosted:
+    """A hosted model behind send, which takes a request and returns a reply as dictionaries; the caller brings the transport.
+
+    Without a key there is no client. A transport's failure is a RuntimeError, which is tried again; a reply without text is
+    Unanswered, which is not.
+    """
+
+    def __init__(self, send: Callable[[dict], dict], key: str | None, model: str, temperature: float = 0.0):
+        if not key or not key.strip():
+            raise ValueError("a hosted model needs a key")
+        self.send, self.key, self.model, self.temperature = send, key.strip(), model, temperature
+
+    def complete(self, prompt: str) -> str:
+        try:
+            reply = self.send({"key": self.key, "model": self.model, "temperature": self.temperature, "prompt": prompt})
+        except OSError as e:
+            raise RuntimeError("the transport failed") from e
+        if not isinstance(reply.get("text"), str):
+            raise Unanswered("the reply holds no text")
+        return reply["text"]
+
+
 class Scripted:
     """Answers in turn; the last one repeats."""
 
@@ -30,6 +60,20 @@ class Scripted:
         return self.answers.pop(0) if len(self.answers) > 1 else self.answers[0]
 
 
+class FirstWords:
+    """Answers a prompt over numbered documents with one fact for each: its first word comes before its second one."""
+
+    def complete(self, prompt: str) -> str:
+        body = prompt.rpartition("\n\nText:\n")[2].removesuffix("\n\nAnswer:\n")
+        parts = re.split(r"(?:\A|\n\n)Document [0-9]+ \(doc_id ([^)]*)\):\n", body)[1:]
+        out = []
+        for doc, text in zip(parts[::2], parts[1::2]):
+            words = re.findall(r"[^\x20\x09-\x0D]+", text)[:2]
+            if len(words) == 2:
+                out.append({"doc_id": doc, "subject": {"name": words[0]}, "predicate": "comes before", "object": {"name": words[1]}, "confidence": 0.9})
+        return f"Here it is: {json.dumps(out)}"
+
+
 class Failing:
     """Fails so many times, then asks inner."""
 
@@ -66,6 +110,25 @@ def completions(prompts: DataFrame, client: Callable[[], Client], max_retries: i
     return cut(prompts.mapInPandas(run, schema), "completions")
 
 
+def embedder(provider: str = "hashed", dimensions: int = 256, n: int = 3, send: Callable[[str], list[float]] | None = None) -> Callable[[str], list[float]]:
+    """A text's vector: "hashed" counts its n-grams in buckets and makes the length 1 (0 for none); "hosted" asks send."""
+    if provider == "hosted":
+        if send is None:
+            raise ValueError("a hosted provider needs a transport")
+        return send
+    if provider != "hashed":
+        raise ValueError(f"unknown provider {provider!r}; known: hashed, hosted")
+
+    def hashed(text: str) -> list[float]:
+        padded, v = f" {text} ", [0.0] * dimensions
+        for i in range(len(padded) - n + 1):
+            v[int.from_bytes(hashlib.blake2b(padded[i : i + n].encode(), digest_size=4).digest(), "big") % dimensions] += 1
+        norm = math.sqrt(sum(x * x for x in v))
+        return [x / norm for x in v] if norm else v
+
+    return hashed
+
+
 def embeddings(names: DataFrame, embed: Callable[[], Callable[[str], list[float]]], name: str = "name") -> DataFrame:
     """(name, embedding) by a provider that the caller makes, once in each task."""
 

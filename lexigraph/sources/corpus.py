@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.triples import fixed_batches
+
 
 def _relative(path, root: str):
     """The path under root, decoded, with forward slashes."""
@@ -15,9 +17,10 @@ def _relative(path, root: str):
 
 
 def documents(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """(doc_id, text) of every file under root; doc_id is the path under root."""
+    """(seq, doc_id, text) of every file under root; doc_id is the path under root, and seq counts from 0 in its order."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
-    return files.select(_relative(F.col("_metadata.file_path"), root).alias("doc_id"), F.col("value").alias("text"))
+    own = files.select(_relative(F.col("_metadata.file_path"), root).alias("doc_id"), F.col("value").alias("text"))
+    return fixed_batches(own, 1, "doc_id").select(F.col("batch").alias("seq"), "doc_id", "text")
 
 
 def snapshot(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:

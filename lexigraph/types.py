@@ -49,6 +49,16 @@ class ExtractionConfig:
         return replace(self, **changes)
 
 
+@dataclass(frozen=True)
+class LoadConfig:
+    batch_size: int = 500
+    max_retries: int = 2
+
+    def __post_init__(self) -> None:
+        if self.batch_size < 1 or self.max_retries < 0:
+            raise ValueError("batch_size must be positive and max_retries not negative")
+
+
 @dataclass(frozen=True)
 class BridgeConfig:
     floor: float = 0.55

@@ -177,6 +177,33 @@ def test_retries():
         with_retries(Failing(3, Scripted(["x"])), "p", 2)
 
 
+def test_hosted_sources(spark):
+    from lexigraph.sources.completions import Hosted, Unanswered, embedder, embeddings, with_retries
+
+    with pytest.raises(ValueError):
+        Hosted(lambda r: {"text": "x"}, " ", "m")
+    seen = []
+
+    def send(request):
+        seen.append(request["prompt"])
+        if len(seen) == 1:
+            raise OSError("no line")
+        return {"text": "yes"}
+
+    assert with_retries(Hosted(send, "k", "m"), "p", 2) == ("yes", 1) and seen == ["p", "p"]
+    with pytest.raises(Unanswered):
+        Hosted(lambda r: {}, "k", "m").complete("p")
+    for bad in ({"provider": "none"}, {"provider": "hosted"}):
+        with pytest.raises(ValueError):
+            embedder(**bad)
+    from lexigraph.operators.similarity import dense, vectors
+
+    names = spark.createDataFrame([("red bolt",), ("ring",)], "name string")
+    got = {x.name: x.embedding for x in embeddings(names, embedder).collect()}
+    want = {x.name: x.embedding for x in dense(vectors(names)).collect()}
+    assert all(got[k] == pytest.approx(want[k]) for k in want) and len(got) == 2
+
+
 def test_extract(spark):
     from lexigraph.sources.completions import Scripted
 
@@ -211,6 +238,192 @@ def test_store(spark, tmp_path):
     assert g.healthy() and g.prune(1)
 
 
+def test_store_is_whole_at_all_times(spark, tmp_path):
+    from lexigraph.plans.store import GraphStore
+
+    g = GraphStore(spark, str(tmp_path / "g"))
+    assert g.version() is None and g.nodes.count() == 0
+    first = g.upsert(facts(spark, [("A", "ORG", "has", "B", "ORG", 0.5, "d1")]))
+    assert (first.nodes, first.relationships, first.batches, first.retries) == (2, 1, 2, 0)
+    real, g._write = g._write, lambda df, path: (_ for _ in ()).throw(RuntimeError("lost")) if path.endswith("edges") else GraphStore._write(g, df, path)
+    with pytest.raises(RuntimeError):  # the writer dies after the nodes' table
+        g.upsert(facts(spark, [("C", "ORG", "has", "D", "ORG", 0.5, "d2")]))
+    g._write = real
+    assert (g.nodes.count(), g.edges.count()) == (2, 1)
+    second = g.upsert(facts(spark, [("C", "ORG", "has", "D", "ORG", 0.5, "d2"), ("E", "X", "is", "e", "X", 1.0, "d2")]))
+    assert (second.nodes, second.relationships, second.skipped_self_loops) == (4, 1, 1)
+    assert (g.nodes.count(), g.edges.count()) == (6, 2)
+    before = len(g._folders())
+    g.replay("d1", facts(spark, [("A", "ORG", "lost", "B", "ORG", 0.5, "d1")]))
+    assert len(g._folders()) == before + 1  # one version: no reader sees the document gone
+    assert {x.predicate for x in g.by_document("d1").collect()} == {"lost"} and g.by_document("d", prefix=True).count() == 2
+    assert g.inferred_only().count() == 0 and g.prune(1) and len(g._folders()) == 1
+    kept = g.snapshot(str(tmp_path / "b"))
+    for f in (tmp_path / "b").glob("*/edges/*.parquet"):
+        f.unlink()
+    assert not g.verify(kept)
+
+
+def test_writes_are_tried_again(spark, tmp_path):
+    from lexigraph.plans.store import GraphStore
+
+    class Once:
+        """A table whose first write fails."""
+
+        def __init__(self, df):
+            self.df, self.failed = df, False
+
+        @property
+        def write(self):
+            if not self.failed:
+                self.failed = True
+                raise RuntimeError("no space")
+            return self.df.write
+
+    g = GraphStore(spark, str(tmp_path / "g"))
+    g._write(Once(spark.range(3)), str(tmp_path / "t"))
+    assert g._retries == 1 and spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_bad_answers_are_errors_and_not_crashes(spark):
+    good = {"subject": {"name": "A"}, "predicate": "is", "object": {"name": "B"}}
+    span = lambda end: good | {"source_span": {"start": 0, "end": end, "text": "x"}}
+    raws = [answer(span(3_000_000_000)), '[{"subject": {"name": "\\ud800"}, "predicate": "is", "object": {"name": "B"}}]', "[" * 100_000 + "]" * 100_000, answer(span("1e400")), answer(good | {"confidence": 10**400}), answer(good)]
+    deep = '[{"subject": ' + "[" * 300 + "]" * 300 + "}]"
+    got = extraction.parse(spark.createDataFrame([(i, ["d"], r) for i, r in enumerate([*raws, deep])], "batch_id long, doc_ids array<string>, raw string")).collect()
+    errors = {x.batch_id: x.error for x in got}
+    assert errors[5] is None and all(errors[i] for i in (0, 1, 3, 4, 6)) and 2 not in errors
+
+
+def test_long_texts_are_chunked_in_linear_time(spark):
+    import time
+
+    docs = spark.createDataFrame([(1, "Some words stand here. " * 200_000)], "doc_id long, text string")
+    began = time.time()
+    stats = chunks.chunk_stats(docs).first()
+    assert stats["count"] > 3000 and stats["max"] <= 1200 + 120
+    assert chunks.budget_batches(chunks.chunk(docs), 600).agg(F.max("batch")).first()[0] > 1000
+    assert time.time() - began < 60
+
+
+def test_ingestion_from_files_to_graph(spark, tmp_path):
+    from lexigraph.plans.store import GraphStore
+    from lexigraph.sources.completions import FirstWords
+    from lexigraph.sources.corpus import documents
+    from lexigraph.streaming.changes import Watcher, into_store
+
+    root = tmp_path / "corpus"
+    (root / "sub").mkdir(parents=True)
+    for name, text in (("b.txt", "Red leads. Blue follows."), ("a.txt", "Ann knows Bob."), ("sub/c.txt", "Sun warms. Sea cools.")):
+        (root / name).write_text(text)
+    docs = documents(spark, str(root))
+    assert [(x.seq, x.doc_id) for x in docs.orderBy("seq").collect()] == [(0, "a.txt"), (1, "b.txt"), (2, "sub/c.txt")]
+    pieces = chunks.chunk(docs, ChunkConfig(12, 0, 0), seq_col="seq")
+    assert [x.text for x in pieces.orderBy("seq").collect()] == ["Ann knows Bob.", "Red leads.", "Blue follows.", "Sun warms.", "Sea cools."]
+    some = extraction.extract_chunks(pieces, FirstWords, ExtractionConfig(batch_size=2, batch_token_budget=1000))
+    assert some.stats.first().asDict() == {"calls": 3, "retries": 0, "triples": 5, "dropped_low_confidence": 0, "dropped_missing_span": 0}
+    assert {x.subject.name for x in some.triples.collect()} == {"Ann", "Red", "Blue", "Sun", "Sea"}
+    few = extraction.extract_chunks(pieces, FirstWords, ExtractionConfig(batch_size=8))
+    assert few.stats.first().calls == 5  # a call for each chunk, whose prompt has no numbered sections
+    tight = extraction.batches(pieces.select("seq", "doc_id", "text"), 4, budget=5)
+    assert tight.count() == 5 and extraction.batches(pieces.select("seq", "doc_id", "text"), 4).count() == 2
+    g = GraphStore(spark, str(tmp_path / "g"))
+    w = Watcher(spark, str(root), str(tmp_path / "state"), into_store(g, lambda: documents(spark, str(root)), lambda d: extraction.extract(d, FirstWords)))
+    assert w.run(1) == 3 and g.edges.count() == 3
+    (root / "a.txt").write_text("Ann leads Carl.")
+    (root / "b.txt").unlink()
+    assert w.run(2, 0.0) == 2
+    assert {(x.subject, x.object) for x in g.edges.collect()} == {("Ann", "leads"), ("Sun", "warms.")}
+    for f in (tmp_path / "state").glob("s*/*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.warns(UserWarning):
+        assert w.poll() == 2  # an unreadable state counts as empty: all is new
+
+
+def test_counters_merge(spark):
+    row = lambda s: spark.sql(f"select {s}")
+    got = extraction.merge_counters(row("1L as calls, 2L as triples"), row("3L as triples, 4L as retries"))
+    assert got.first().asDict() == {"calls": 1, "triples": 5, "retries": 4}
+    assert extraction.stats_line(got).first().line == "calls=1 triples=5 retries=4"
+    assert "batch_size=8" in extraction.describe(ExtractionConfig())
+
+
+def test_alias_tables_are_kept_in_order(spark, tmp_path):
+    at = str(tmp_path / "aliases")
+    assert alias.load(spark, at).count() == 0
+    alias.save(spark.createDataFrame([("c", "x"), ("a", "y"), ("b", "x")], alias.ALIAS), at)
+    assert [x.alias for x in alias.exported(alias.load(spark, at)).collect()] == ["a", "b", "c"]
+    alias.save(alias.load(spark, at).filter("alias <> 'b'"), at)
+    assert alias.load(spark, at).count() == 2
+    merged = alias.merge(alias.load(spark, at), "z", "x")
+    assert {(x.alias, x.canonical) for x in merged.collect()} == {("c", "z"), ("a", "y"), ("x", "z")}
+
+
+def test_viewer_values(spark):
+    from lexigraph.functions import scores, text
+
+    assert [scores.layout(n) for n in (0, 1, 2, 1501)] == ["grid", "grid", "cose", "breadthfirst"]
+    assert [scores.label_font(n) for n in (300, 301, 801)] == [10, 8, 6] and scores.opacity(0, 0) == 0.9 and scores.show_edge_labels(0, 0)
+    assert scores.drift(0.0, 0.0, 1000.0, 2.0, 3.0) == (0.0, 3.0)
+    edges = spark.createDataFrame([(0, "a", "b", "p", 0.5, True), (1, "a", "b", "q", None, False)], "seq long, source string, target string, predicate string, confidence double, inferred boolean")
+    got = edges.orderBy("seq").select(views.edge_tooltip(), scores.z_index("inferred"), scores.curve("seq")).collect()
+    assert [tuple(x) for x in got] == [("a —p→ b · confidence 0.50 · inferred", 1, "straight"), ("a —q→ b", 2, "bezier")]
+    nodes = spark.createDataFrame([("a", "A", "ORG"), ("c", "C", "X")], "id string, label string, type string")
+    assert {x.id: x.size for x in views.node_sizes(nodes, edges).collect()} == {"a": pytest.approx(20.4), "c": 18.0}
+    one = nodes.orderBy("id").select(scores.type_color("type", {"ORG": "#123456"}), views.node_tooltip(), text.panel_title("label"), text.legend_id("type")).collect()
+    assert [tuple(x) for x in one] == [("#123456", "A · ORG", "node details: A", "legend-org"), ("#6c757d", "C · X", "node details: C", "legend-x")]
+    row = spark.createDataFrame([("ab", 0.9, True, None)], "name string, c double, ok boolean, none string")
+    assert row.select(text.row_size(row)).first()[0] == len("name" + "ab" + "c" + "0.9" + "ok" + "True" + "none" + "None")
+    m = spark.sql("select 0.125D as a, cast(null as double) as b").select(text.metric("a"), text.metric("b")).first()
+    assert m[1] == "—" and m[0] in ("0.12", "0.13")
+    day = spark.sql("select timestamp '2024-05-01 23:59:00' as t")
+    assert day.select(text.disposition("t")).first()[0] == 'attachment; filename="lexigraph-2024-05-01.graphml"'
+
+
+def test_prompt_helpers():
+    from lexigraph.sources import prompts
+
+    assert prompts.merged_hints(["news", "none", "technical"]) == f"{prompts.HINTS['news']} {prompts.HINTS['technical']}"
+    assert len(prompts.rules_for("news")) == len(prompts.RULES) + 1 and prompts.rules_for("general") == list(prompts.RULES)
+    assert prompts.example_for("news")["domain"] == "news" and prompts.example_for("none") is None
+    assert prompts.check_registry().endswith("3 domains") and prompts.system_for("general") == prompts.SYSTEM
+    with pytest.raises(ValueError):
+        prompts.check_registry(({"domain": "news", "input": "x"},))
+    with pytest.raises(ValueError):
+        prompts.check_domain("none")
+    assert prompts.over_length(prompts.PromptConfig(), "x" * 4001) == {"text": 1} and prompts.within_budget("x" * 6000) and not prompts.within_budget("x" * 6001)
+
+
+def test_hashed_names_match_plain_python(spark):
+    """The default hashing (blake2b) and the default folding, which no SQL has."""
+    import hashlib
+
+    from lexigraph.operators.similarity import vectors
+
+    names = ["straße", "Éva ünder", "a", ""]
+    want = {}
+    for n in names:
+        padded = f" {n} "
+        for i in range(len(padded) - 2):
+            b = int.from_bytes(hashlib.blake2b(padded[i : i + 3].encode(), digest_size=4).digest(), "big") % 256
+            want[(n, b)] = want.get((n, b), 0) + 1
+    got = vectors(spark.createDataFrame([(n,) for n in names], "name string")).collect()
+    assert {(x.name, x.bucket): x.cnt for x in got} == want
+
+
+def test_paths_beyond_the_nearest(spark):
+    from lexigraph.plans.reads import answers, shortest_paths
+
+    rows = [(a, "p", b, 0.5, "d", False) for a, b in ("ab", "bc", "ax", "xc", "ay", "yc", "az", "zc", "cd", "pq")]
+    e = spark.createDataFrame([*rows, ("d", "g", "e", 0.5, "d", True), ("d", "s", "d", 0.5, "d", False)], "subject string, predicate string, object string, confidence double, source_doc_id string, inferred boolean")
+    path = lambda s, t, **k: [(r.hops, "".join(r.path), r.all_inferred) for r in shortest_paths(e, s, t, **k).collect()]
+    assert path("a", "c") == [(2, "abc", False), (2, "axc", False), (2, "ayc", False)]
+    assert path("d", "a") == [(3, "dcba", False), (3, "dcxa", False), (3, "dcya", False)]
+    assert path("a", "e") == [] and path("a", "e", hops=4, limit=1) == [(4, "abcde", False)] and path("a", "q") == []
+    assert path("d", "e") == [(1, "de", True)] and answers(shortest_paths(e, "d", "e")).count() == 0
+    assert path("a", "a") == [(0, "a", False)] and path("none", "none") == []
+
+
 def test_paths(spark):
     from lexigraph.plans.reads import shortest_paths
 

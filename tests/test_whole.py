@@ -30,45 +30,13 @@ def sf(spark, tmp_path_factory):
 
 def test_every_row_of_lineitem_is_a_fact(spark, sf):
     got = fixture.triples(spark, sf).select("seq", F.col("subject.name").alias("s"), "predicate", F.col("object.name").alias("o"), "confidence").collect()
-    assert len({x.seq for x in got}) == len(got) == 2 + 2 + 2 + 2 * 4
+    assert len({x.seq for x in got}) == len(got) == 2 + 2 + 2 + 2 * 4 + 2 + 2 + 1  # the last: loops, second spellings, a guess
     assert max(x.seq for x in got) < 1 << 62  # twice a seq is a mention
     of = lambda p: sorted((x.s, x.o, round(x.confidence, 6)) for x in got if x.predicate == p)
     assert of("supplies") == [("Supplier#1", "azure linen lace", 0.2), ("Supplier#1", "azure linen lace", 0.4)] + 2 * [("Supplier#2", "azure linen laces", 0.1)]
     assert of("ordered") == [("Customer#1", "azure linen lace", 0.9)] + 2 * [("Customer#1", "azure linen laces", 0.8)] + [("Customer#2", "azure linen lace", 0.7)]
 
 
-def test_licences_without_hints_and_over_many_lines():
-    from lexigraph.llm.licenses import licences, sentences
-
-    named = lambda t: licences(sentences(t))[0]
-    assert named("Released under CC BY 4.0.") == ["CC-BY-4.0"]
-    assert named("Distributed under Creative Commons BY-SA 4.0") == ["CC-BY-SA-4.0"]
-    assert named("It is so.\nreleased under CC0 1.0") == ["CC0-1.0"]
-    assert named("This work is in the public\ndomain.") == ["LicenseRef-public-domain"]
-    asis = "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
-    assert [k for k, _ in sentences(asis.replace(" ", "\n# "))] == ["apache2asis"]
-    warranty = "This program is distributed in the hope that it will be useful, but without\nany warranty whatever."
-    assert [k for k, _ in sentences(warranty.replace(" ", "\n"))] == ["gplwarranty"]
-    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software), to deal\n" + "in it without limit\n" * 20
-    assert named(grant + "subject to these conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.") == ["MIT"]
-    apache = "You may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n http://www.apache.org/licenses/LICENSE-2.0\n\n"
-    assert [k for k, _ in sentences(apache + asis)] == ["apache2obey", "apache2copy", "apache2asis"]
-
-
-def test_every_licence_pattern_begins_with_a_start():
-    from lexigraph.llm import licenses
-
-    for k, p in licenses.SENTENCES.items():
-        heads = [p]
-        if p.startswith("(?:") and ")?" in p.split(" under ")[0]:  # begins with words that may be missing
-            depth = [p[: i + 1].count("(") - p[: i + 1].count(")") for i in range(len(p))]
-            at = depth.index(0)
-            heads = [p[3:at], p[at + 2 :]]
-        for head in heads:
-            for word in head.removeprefix("(?:").split(")")[0].split("|") if head.startswith("(?:") else [head]:
-                assert licenses._START.match(word.strip()), (k, word)
-
-
 def test_dense_cosine_gives_all_pairs_over_its_floor(spark, tmp_path):
     from lexigraph.operators.similarity import dense_pairs
 
@@ -88,7 +56,7 @@ def test_dense_cosine_gives_all_pairs_over_its_floor(spark, tmp_path):
 def test_rewrite_and_labels_cover_every_fact(spark, sf):
     facts = fixture.triples(spark, sf).select("seq", "predicate", F.lower("subject.name").alias("s"), F.lower("object.name").alias("o"), "confidence").collect()
     got = {x.seq: x for x in queries.rewrite_triples(spark, sf).collect()}
-    assert len(got) == len(facts) == 14
+    assert len(got) == len(facts) == 19
     for x in facts:  # the two part names are similar, and the shorter one is canonical
         assert (got[x.seq].s, got[x.seq].predicate, got[x.seq].o) == (x.s, x.predicate, x.o.replace("laces", "lace"))
     labels = {x.seq: x.label for x in queries.edge_labels(spark, sf).collect()}
