@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +15,63 @@ from pyspark.sql.types import StructType
 from ..plans.tables import cut as materialize  # noqa: F401
 
 
+#: Bytes of a batch that goes to a Python worker: batches by rows alone would grow with the texts.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches hold about BATCH_BYTES at most (or one row), unless it has a lower bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name, None)
+    if not own or not own.isdigit() or int(own) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Gives freed memory of a Python worker back: workers are reused, and what one task held would stay with the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """run, a function of Arrow batches or of tables of groups, with release() when it has ended."""
+
+    @wraps(run)
+    def batches(some):
+        try:
+            yield from run(some)
+        finally:
+            release()
+
+    @wraps(run)
+    def table(t):
+        try:
+            return run(t)
+        finally:
+            release()
+
+    @wraps(run)
+    def tables(left, right):
+        try:
+            return run(left, right)
+        finally:
+            release()
+
+    if "RecordBatch" in str(run.__annotations__.get("return")):
+        return batches
+    return table if run.__code__.co_argcount == 1 else tables
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply fn, columns in and columns out, to every Arrow batch of df."""
     kinds = arrow_schema(df.sparkSession, schema)
+    bounded_batches(df.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
@@ -33,6 +89,7 @@ def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string), null texts as empty; other columns stay behind, so that their names can't clash."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 

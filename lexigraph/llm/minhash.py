@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected
 from ..plans.tables import drop_cut
-from .common import arrow_schema, materialize, texts
+from .common import arrow_schema, materialize, texts, tidy
 from .shingle import mix, shingles
 
 _SIGS = "doc_id long, n_shingles long, d1 long, d2 long, sig binary"
@@ -187,6 +187,7 @@ class NearDuplicates:
     def signatures(self, docs: DataFrame) -> DataFrame:
         kinds, size, n = arrow_schema(docs.sparkSession, _SIGS), self.size, self.n
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 counts, d1, d2, sigs = [], [], [], []
@@ -244,6 +245,7 @@ class NearDuplicates:
         schema = "key long, node long"
         kinds, bands, rows, n = arrow_schema(nodes.sparkSession, schema), self.bands, self.rows, self.n
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
@@ -256,6 +258,7 @@ class NearDuplicates:
         """nodes with a byte for each minimum, which is what pairs are compared by."""
         kinds, n = arrow_schema(nodes.sparkSession, "node long, n int, sig binary"), self.n
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
@@ -273,6 +276,7 @@ class NearDuplicates:
         schema = "a long, b long, same int"
         kinds, n, alike = arrow_schema(nodes.sparkSession, schema), self.n, self._alike
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
@@ -361,6 +365,7 @@ class NearDuplicates:
         parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = dealt.repartition(parts, "block").sortWithinPartitions("block", "side")
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []  # the last block's rows so far
 
@@ -396,6 +401,7 @@ class NearDuplicates:
         """(doc_id, words): the lower-cased texts of nodes, compressed."""
         blob = arrow_schema(docs.sparkSession, "doc_id long, words binary")
 
+        @tidy
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             z = zstandard.ZstdCompressor(level=6)
             for b in batches:
@@ -412,6 +418,7 @@ class NearDuplicates:
             w = zstandard.ZstdDecompressor().decompress(raw).split()
             return set(zip(*(w[k:] for k in range(size)))) if len(w) >= size else {tuple(w)}
 
+        @tidy
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, right = None, set()
             for b in batches:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize, texts
+from .common import arrow_schema, materialize, texts, tidy
 from .tokenize import IdBytes, Splitter
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, class int, nth long"
@@ -58,6 +58,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, ma
     kinds = arrow_schema(docs.sparkSession, schema)
     end = end_id.to_bytes(4, "little")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, worker, counts = IdBytes(Splitter(path, lower=False)), TaskContext.get().partitionId(), {}
         for b in batches:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.tables import drop_cut
-from .common import arrow_schema, materialize
+from .common import arrow_schema, bounded_batches, materialize, tidy
 from .shingle import buffers, mix, prefix_sums, span_hash
 
 _U = np.uint64
@@ -227,6 +227,7 @@ class RepeatedStrings:
         """All rows of docs in chunks of about chunk_bytes of text."""
         kinds, size = arrow_schema(docs.sparkSession, _CHUNK), self.chunk_bytes
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part, n, got, held = TaskContext.get().partitionId(), 0, 0, []
 
@@ -256,6 +257,7 @@ class RepeatedStrings:
         """finish(rows of a chunk, its texts' bytes, their bounds, which bytes go) as a table of schema out. The rows have __id, __text and k0, k1, ... for the columns of keep."""
         spark = docs.sparkSession
         length, k, hot, width = self.length, self.k, self.hot, 2 * self.length - self.k
+        bounded_batches(spark)
         own = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
         chunks = materialize(self._chunks(own), "chunks")
         total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
@@ -271,6 +273,7 @@ class RepeatedStrings:
         def read(blob: bytes) -> pa.Table:
             return pa.ipc.open_stream(_unzip(blob)).read_all()
 
+        @tidy
         def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("rows")):
@@ -279,6 +282,7 @@ class RepeatedStrings:
                         raw = (e - s).to_bytes(8, "little") + _press(np.diff(fp[s:e], prepend=_U(0)), 6) + _press(np.minimum(docs_of[s:e], 65535), 2)
                         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(([i], [bucket], [_zip(raw)]), sent)], schema=sent)
 
+        @tidy
         def shared(t: pa.Table) -> pa.Table:
             fps, counts, sizes = [], [], []
             for blob in t.column("data"):
@@ -310,6 +314,7 @@ class RepeatedStrings:
                 many[s:e], very[s:e] = x[: e - s], x[e - s :]
             return strings.take((many & ~very)[which], very[which])
 
+        @tidy
         def send(left: pa.Table, right: pa.Table) -> pa.Table:
             out = []
             for bucket, blob in zip(left.column("bucket").to_pylist(), left.column("rows")):
@@ -325,6 +330,7 @@ class RepeatedStrings:
                     out.append((i, bucket, _zip(raw, 3)))
             return pa.Table.from_arrays([pa.array([o[j] for o in out], f.type) for j, f in enumerate(sent)], schema=sent)
 
+        @tidy
         def build(t: pa.Table) -> pa.Table:
             ids, low, high, sizes = [], [], [], []
             raws = []
@@ -365,6 +371,7 @@ class RepeatedStrings:
                 at += n
             return pa.Table.from_arrays([t.column("bucket"), pa.array([1] * len(data), pa.int32()), t.column("slice"), pa.array(data, pa.binary())], schema=answer)
 
+        @tidy
         def end(left: pa.Table, right: pa.Table) -> pa.Table:
             done = []
             for blob in left.column("rows"):

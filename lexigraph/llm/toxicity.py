@@ -4,7 +4,7 @@ Features are the words of the whole text and their beginnings (4 to 6 letters),
 labelled documents, per_class of either label at most (a documented parameter; all documents are scored), every feature is
 counted by label; the features whose share differs most surely, at most max_features, stay. A logistic regression on them
 is trained with a penalty on squared changes of the score's logit when, in labelled sentences, an identity term is swapped
-for another of its kind: neutral mentions of a group then score as other groups' do.
+for each other of its kind: neutral mentions of a group then score as other groups' do.
 
 Null texts count as empty and get the score of a document without features; null ids are scored and never trained on;
 repeated rows give repeated rows; an empty table gives an empty table; without labels of both kinds every score is the
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, map_rows, materialize, texts
+from .common import arrow_schema, map_rows, materialize, texts, tidy
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -45,14 +45,13 @@ def features(text: str) -> set[str]:
 
 
 def swapped(text: str, terms: dict[str, list[str]]) -> list[tuple[str, str]]:
-    """Pairs of sentences that differ in their identity terms alone."""
+    """Pairs of sentences that differ in one identity term alone: each term of a sentence gives way to every other of its kind."""
     out = []
     for s in _SENTENCE.split(text):
         low = s.lower()
         for t in sorted({w for w in _WORD.findall(low) if w in terms}):
             other = terms[t]
-            new = other[(len(s) + len(t)) % len(other)]
-            out.append((low, re.sub(rf"(?<!\w){re.escape(t)}(?!\w)", new, low)))
+            out += [(low, re.sub(rf"(?<!\w){re.escape(t)}(?!\w)", new, low)) for new in other]
     return out
 
 
@@ -82,8 +81,12 @@ def train(rows: list[tuple[list[int], int, float]], pairs: list[tuple[list[int],
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 8000, max_features: int = 4096, least_df: int = 3, identity=IDENTITY) -> dict:
-    """A model: weights by feature, and the intercept. Learns from labels whose crc32(doc_id) mod 4 is not 2."""
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = 8000, max_features: int = 4096, least_df: int = 3, identity=IDENTITY, fairness: float = 5.0) -> dict:
+    """A model: weights by feature, and the intercept. Learns from labels whose crc32(doc_id) mod 4 is not 2.
+
+    identity: groups of terms that a corpus's language has for people of one kind; fairness: the weight of the penalty, 0 for
+    none. A sample in whose sentences no term occurs has no pairs, and then the penalty is nothing.
+    """
     docs = texts(docs)
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(label_col).cast("int") > 0).cast("int").alias("y")).dropna().filter(~held_out())
     own = own.groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -97,6 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
     sample = materialize(docs.join(picked, "doc_id"), "labelled")
     kinds = arrow_schema(sample.sparkSession, "feature string, pos long, neg long")
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got: dict[str, list[int]] = {}
@@ -127,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
         }
 
     rows = map_rows(sample.select("text", "y"), vector, "x array<int>, y int, a array<array<int>>, b array<array<int>>").collect()  # about 2 * per_class
-    w = train([(r["x"], r["y"], 1 / share[r["y"]] / total) for r in rows], [p for r in rows for p in zip(r["a"], r["b"])], len(names))
+    w = train([(r["x"], r["y"], 1 / share[r["y"]] / total) for r in rows], [p for r in rows for p in zip(r["a"], r["b"])], len(names), fairness)
     return {"weights": {x: float(w[i]) for x, i in at.items()}, "bias": float(w[-1])}
 
 
@@ -159,6 +163,7 @@ def clean(docs: DataFrame, model: dict, below: float = 0.3, text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at, columns = docs.columns.index(text_col), list(docs.columns)
 
+    @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array([score_text(shared.value, t or "") < below for t in b.column(at).to_pylist()], pa.bool_()))
