@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.tables import drop_cut
 from .common import materialize
 
 
@@ -40,7 +41,7 @@ def shard(docs: DataFrame, shards: int = 16, ranges: int = 1024, sample: int = 1
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), F.xxhash64(text).alias("text_key"))
-    rows = materialize(rows, "sizes")
+    rows = materialize(rows.withColumn("copy", F.monotonically_increasing_id()), "sizes")  # copy parts rows that are alike in all else
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     chance = F.least(F.lit(1.0), F.col("size") * F.lit(sample / max(total, 1)))
     unit = F.pmod(F.xxhash64(F.lit(7), "doc_id", "text_key"), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -53,7 +54,7 @@ def shard(docs: DataFrame, shards: int = 16, ranges: int = 1024, sample: int = 1
     part = F.lit(0)
     if parts:
         finer = F.element_at(F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]), F.col("range"))
-        part = F.coalesce(F.pmod(F.xxhash64(F.lit(11), "doc_id", "text_crc32"), finer), F.lit(0)).cast("int")
+        part = F.coalesce(F.pmod(F.xxhash64(F.lit(11), "doc_id", "text_crc32", "copy"), finer), F.lit(0)).cast("int")
     placed = placed.withColumn("part", part)
     fine, order = ["range", "part"], ["text_key", "doc_id"]
     win = Window.partitionBy(*fine).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -73,4 +74,5 @@ def shard(docs: DataFrame, shards: int = 16, ranges: int = 1024, sample: int = 1
     out = placed.join(starts, fine).select("doc_id", "size", "text_crc32", F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(max(total, 1)))).cast("int").alias("shard"), (F.col("range_n") + F.col("nth")).alias("place"))
     out = materialize(out, "shards")
     begin = F.broadcast(out.groupBy("shard").agg(F.min("place").alias("begin")))  # a row for each shard
+    drop_cut(rows)
     return out.join(begin, "shard").select("doc_id", "size", "text_crc32", "shard", (F.col("place") - F.col("begin")).alias("slot"))
