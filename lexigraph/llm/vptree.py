@@ -4,7 +4,8 @@ Vectors become points of a metric space by one more component, sqrt(m - |x|^2) w
 for queries): the nearest point by distance is then the one of largest inner product. Rows with equal vectors are one point
 that keeps its `k` + 1 smallest ids, pre-aggregated in every batch, so that a vector shared by very many rows stays small. Points are dealt by
 hash into shards of about shard_rows; each shard holds a tree: a vantage point, the median distance to it, and the nearer
-and the farther half, down to leaves. Blocks of queries meet every shard (a stated query set against all rows); a half is
+and the farther half, down to leaves. Blocks of queries meet every shard (a stated query set against all rows), so tasks are
+as many as shards times blocks, and a row that meets a shard carries about as many bytes of queries as of points; a half is
 skipped when its least possible distance, by the triangle inequality, is over factor times the query's k-th best so far.
 factor one is exact; smaller ones prune more and may miss neighbours. Candidates that survive are scored anew on the original
 vectors, in double precision, component by component.
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize
+from .common import arrow_schema, bounded_batches, materialize, tidy
 
 _FOUND = "query_id long, vec_id long, score double"
 
@@ -32,7 +33,7 @@ _FOUND = "query_id long, vec_id long, score double"
 class VPTree:
     """points: (n, d) doubles, each with a weight of ids; the tree holds positions of points."""
 
-    def __init__(self, points: np.ndarray, leaf: int = 128, seed: int = 7):
+    def __init__(self, points: np.ndarray, leaf: int = 512, seed: int = 7):
         self.points, self.leaf = points, leaf
         self.rng = np.random.default_rng(seed)
         self.root = self._build(np.arange(len(points)))
@@ -49,26 +50,23 @@ class VPTree:
             return own
         return vantage, (d[near].min(), d[near].max()), self._build(own[near]), (d[far].min(), d[far].max()), self._build(own[far])
 
-    def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> list[np.ndarray]:
-        """For each query the positions of its k nearest points and of those no farther than the k-th."""
+    def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, position) of each query's k nearest points and of those no farther than the k-th."""
         best = np.full((len(queries), k), np.inf)
-        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         stack = [(self.root, np.arange(len(queries)), np.zeros(len(queries)))]
         while stack:
             node, who, bound = stack.pop()
-            going = bound <= factor * best[who, -1] + 1e-9
-            who = who[going]
+            who = who[bound <= factor * best[who, -1] + 1e-9]
             if not len(who):
                 continue
             if isinstance(node, np.ndarray):
-                x, q = self.points[node], queries[who]
-                d = np.sqrt(np.maximum((q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2 * q @ x.T, 0))
-                best[who] = np.partition(np.concatenate([best[who], d], axis=1), k - 1, axis=1)[:, :k]
-                best[who] = np.sort(best[who], axis=1)
-                for i, row in zip(who.tolist(), d):
-                    some = np.flatnonzero(row <= best[i, -1] + 1e-9)
-                    if len(some):
-                        held[i].append((node[some], row[some]))
+                for some in np.array_split(who, -(-len(who) // 2048)):
+                    x, q = self.points[node], queries[some]
+                    d = np.sqrt(np.maximum((q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2 * q @ x.T, 0))
+                    best[some] = np.sort(np.partition(np.concatenate([best[some], d], axis=1), k - 1, axis=1)[:, :k], axis=1)
+                    row, at = np.nonzero(d <= best[some, -1:] + 1e-9)
+                    held.append((some[row], node[at], d[row, at]))
                 continue
             vantage, (n0, n1), near, (f0, f1), far = node
             d = np.sqrt(((queries[who] - vantage) ** 2).sum(axis=1))
@@ -76,14 +74,9 @@ class VPTree:
             first = low_near <= low_far
             # the half that may be nearer is searched first: it is pushed last
             stack += [(near, who[~first], low_near[~first]), (far, who[first], low_far[first]), (far, who[~first], low_far[~first]), (near, who[first], low_near[first])]
-        out = []
-        for i, parts in enumerate(held):
-            if parts:
-                at, d = (np.concatenate(p) for p in zip(*parts))
-                out.append(at[d <= best[i, -1] + 1e-9])
-            else:
-                out.append(np.zeros(0, np.int64))
-        return out
+        who, at, d = (np.concatenate(c) for c in zip(*held))
+        ok = d <= best[who, -1] + 1e-9
+        return who[ok], at[ok]
 
 
 def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -93,15 +86,34 @@ def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _scores(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Inner products, row by row, summed in the order of the components."""
     out = np.zeros(len(points))
     for j in range(points.shape[1]):
-        out += queries[j] * points[:, j]
+        out += queries[:, j] * points[:, j]
     return out
 
 
-def search(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0, shard_rows: int = 16384, block_rows: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def _nearest(q: np.ndarray, who: np.ndarray, x: np.ndarray, ids: pa.ListArray, pairs: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, id, score) of each query's k nearest ids but its own, among pairs of queries and points."""
+    at, point = pairs
+    score = _scores(q[at], x[point])
+    offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+    n = (offsets[1:] - offsets[:-1])[point]
+    own = np.repeat(offsets[point], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at, score, other = np.repeat(at, n), np.repeat(score, n), flat[own]
+    keep = other != who[at]
+    at, score, other = at[keep], score[keep], other[keep]
+    order = np.lexsort((other, -score, at))
+    at, score, other = at[order], score[order], other[order]
+    first = np.searchsorted(at, at)
+    best = np.arange(len(at)) - first < k
+    return who[at[best]], other[best], score[best]
+
+
+def search(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0, shard_rows: int = 4096, block_rows: int = 8192, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by every, its k nearest other rows."""
     spark = vectors.sparkSession
+    bounded_batches(spark)
     rows = _usable(vectors, id_col, vec_col)
     n, top = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
     shards = max(1, -(-n // shard_rows))
@@ -111,6 +123,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0
         keys = [xxhash.xxh3_64_intdigest(v) >> 1 for v in found]
         return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((keys, [len(v) // 8 for v in found], list(found), [sorted(set(i))[: k + 1] for i in found.values()]), point)], schema=point)
 
+    @tidy
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found: dict[bytes, list[int]] = {}
@@ -118,6 +131,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0
                 found.setdefault((v.values.to_numpy() + 0.0).tobytes(), []).append(i)
             yield grouped(found)
 
+    @tidy
     def block(t: pa.Table) -> pa.Table:
         found: dict[bytes, list[int]] = {}
         for v, ids in zip(t.column("v").to_pylist(), t.column("ids").to_pylist()):
@@ -134,6 +148,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0
     dealt = points.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "v", "ids")
     index = materialize(dealt.groupBy("shard").applyInArrow(block, "shard int, size int, vs binary, ids array<array<long>>"), "shards")
 
+    @tidy
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in range(0, b.num_rows, block_rows):
@@ -146,24 +161,19 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = 1.0
     asked = rows.filter(F.col("id") % every == 0).dropDuplicates(["id"])
     asked = asked.mapInArrow(blocks, "size int, query_ids array<long>, qs binary").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
+    @tidy
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tree, x, ids = None, None, None, []
+        last, tree, x = None, None, None
         for b in batches:
             for shard, size, vs, own, qids, qs in zip(*(b.column(c) for c in ("shard", "size", "vs", "ids", "query_ids", "qs"))):
                 if last != (shard.as_py(), size.as_py()):
                     last = (shard.as_py(), size.as_py())
                     x = np.frombuffer(vs.as_py()).reshape(-1, last[1])
                     tree = VPTree(np.column_stack([x, np.sqrt(np.maximum(top - (x**2).sum(axis=1), 0))]))
-                    ids = own.as_py()
-                q, who = np.frombuffer(qs.as_py()).reshape(-1, last[1]), qids.as_py()
-                out: tuple[list, list, list] = ([], [], [])
+                q, who = np.frombuffer(qs.as_py()).reshape(-1, last[1]), qids.values.to_numpy()
                 # a query's own row is a point too, so one more than k
-                for i, at in enumerate(tree.search(np.column_stack([q, np.zeros(len(q))]), min(k + 1, len(x)), factor)):
-                    score = _scores(q[i], x[at])
-                    found = sorted(((-s, j) for s, p in zip(score.tolist(), at.tolist()) for j in ids[p] if j != who[i]))[:k]
-                    out[0].extend([who[i]] * len(found))
-                    out[1].extend(j for _, j in found)
-                    out[2].extend(-s for s, _ in found)
+                pairs = tree.search(np.column_stack([q, np.zeros(len(q))]), min(k + 1, len(x)), factor)
+                out = _nearest(q, who, x, pa.array(own.as_py(), pa.list_(pa.int64())), pairs, k)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, result)], schema=result)
 
     found = index.join(asked, ["shard", "size"]).sortWithinPartitions("shard", "size").mapInArrow(look, _FOUND)
