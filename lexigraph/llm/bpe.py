@@ -1,13 +1,16 @@
 """BPE encoding and decoding through a distinct-word table.
 
-Texts are dealt into buckets of about bucket_bytes. Each bucket gives its distinct words, sorted, as rows with their
-positions. The distinct words of all buckets form one table; each is encoded once there, and decoded by a join of its ids
-with the vocabulary's id-to-piece table, whose size is fixed. The table joins the rows of (word, bucket, position), and the
-answers meet the bucket's texts by position. Rows grow with the distinct words of the buckets, no message with their number
-squared; a word that every bucket has stands there once for each bucket.
-
-Null texts count as empty and give no ids; rows with a null doc_id are encoded too; repeated rows give repeated rows; an
-empty table gives an empty table; other columns are ignored.
+Texts are dealt into buckets of about bucket_bytes. Each bucket sends its distinct words, sorted, in slices by word hash
+to the word table; there every distinct word is encoded once, and the ids of each slice go back to the bucket, where they
+meet the words by position. Each distinct word's ids are decoded there by the id-to-piece table, which has a fixed size and
+is held in memory; decode() does the same for whole documents by a join.
+
+A slice for which a bucket has no words gets no message, so messages are as many as buckets times slices at most, and never
+more than the buckets' distinct words. A row for each word, bucket and position would need no such product, but such rows took more than
+the disk that this operator may use where texts repeat few words (README).
+
+Null texts count as empty and give no ids; repeated rows give repeated rows; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,26 +18,24 @@ from __future__ import annotations
 import hashlib
 import json
 import zlib
-from array import array
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.tables import drop_cut
-from .common import arrow_schema, materialize, texts, tidy
+from .common import arrow_schema, materialize, release, texts, tidy
 from .tokenize import Splitter
 
 _DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _IDS = "doc_id long, ids array<int>, decoded string"
-_WORDS = "word string, bucket long, mark long, position int"
-_CODES = "word string, ids array<int>"
 
 
-def _buckets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, list, list]]:
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, list, list]]:
     """(bucket, ids, texts) of the partition at hand, in buckets of about size bytes."""
     part = TaskContext.get().partitionId()
     n, got, ids, rows = 0, 0, [], []
@@ -50,98 +51,99 @@ def _buckets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int
         yield (part << 24) + n, ids, rows
 
 
-def _numbered(split: Splitter, rows: list[str]) -> tuple[list[str], list[array]]:
-    """The distinct words of rows in the order of first sight, and each row's words as numbers of them."""
-    number: dict[str, int] = {}
-    own = [array("I", [number.setdefault(w, len(number)) for w in split.words(t)]) for t in rows]
-    return list(number), own
+def _slices(split: Splitter, rows: list[str], n: int) -> list[list[str]]:
+    """The distinct words of rows, sorted, by word hash."""
+    out: list[list[str]] = [[] for _ in range(n)]
+    for w in sorted(set().union(*map(split.words, rows))):
+        out[zlib.crc32(w.encode()) % n].append(w)
+    return out
 
 
-def _mark(words: list[str]) -> int:
-    return zlib.crc32("\n".join(words).encode())
+def _joined(words: list[str]) -> bytes:
+    return "\n".join(words).encode()
 
 
-def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 16 << 20, digests: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8 << 20, slice_bytes: int = 48 << 20, digests: bool = False) -> DataFrame:
     """doc_id with ids and the decoded text, or with their digests. path: a BPE vocabulary of the tokenizers library.
 
     lower: the vocabulary's normaliser is NFC, white space, lower case, and its decoder joins pieces with a space.
     """
     spark, docs = docs.sparkSession, texts(docs)
-    wording, coding, dealt, result = (arrow_schema(spark, s) for s in (_WORDS, _CODES, "bucket long, docs binary", _DIGESTS if digests else _IDS))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-total // slice_bytes))
+    blobs, back, dealt = (arrow_schema(spark, s) for s in ("slice int, bucket long, mark long, words binary", "bucket long, slice int, mark long, ids binary", "bucket long, docs binary"))
 
     @tidy
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter(path, lower)
-        for bucket, _, rows in _buckets(batches, bucket_bytes):
-            words = sorted(_numbered(split, rows)[0])
-            mark = _mark(words)
-            for i in range(0, len(words), 1 << 16):
-                some = words[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((some, [bucket] * len(some), [mark] * len(some), range(i, i + len(some))), wording)], schema=wording)
+        for bucket, _, rows in _chunks(batches, bucket_bytes):
+            raw = {k: _joined(s) for k, s in enumerate(_slices(split, rows, n)) if s}
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((list(raw), [bucket] * len(raw), [zlib.crc32(r) for r in raw.values()], [zlib.compress(r, 3) for r in raw.values()]), blobs)], schema=blobs)
 
     @tidy
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Splitter(path, lower)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array([split.ids(w) for w in b.column("word").to_pylist()], coding[1].type)], schema=coding)
+    def encoded(t: pa.Table) -> pa.Table:
+        split, ids = Splitter(path, lower), {}
+        out: list[bytes] = []
+        for blob in t.column("words"):
+            flat: list[int] = []
+            sizes = []
+            for w in zlib.decompress(blob.as_py()).decode().split("\n"):
+                if (x := ids.get(w)) is None:
+                    x = ids[w] = split.ids(w)
+                flat += x
+                sizes.append(len(x))
+            out.append(zlib.compress(np.array([len(sizes), *sizes, *flat], "<u4").tobytes(), 1))
+        return pa.Table.from_arrays([t.column("bucket"), t.column("slice"), t.column("mark"), pa.array(out, pa.binary())], schema=back)
 
     @tidy
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, ids, rows in _buckets(batches, bucket_bytes):
+        for bucket, ids, rows in _chunks(batches, bucket_bytes):
             blob = zstandard.ZstdCompressor(level=3).compress(json.dumps([ids, rows], ensure_ascii=False).encode())
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([blob], pa.binary())], schema=dealt)
 
-    @tidy
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         split = Splitter(path, lower)
         ids_of, rows = [], []
-        for blob in left.column("docs"):
-            some = json.loads(zstandard.ZstdDecompressor().decompress(blob.as_py()))
+        for blob in left["docs"]:
+            some = json.loads(zstandard.ZstdDecompressor().decompress(blob))
             ids_of += some[0]
             rows += some[1]
-        names, own = _numbered(split, rows)
-        order = sorted(range(len(names)), key=names.__getitem__)
-        forms: list = [None] * len(names)
-        marks = set(right.column("mark").to_pylist())
-        if right.num_rows == len(names) and marks <= {_mark([names[i] for i in order])}:
-            for at, codes, said, n in zip(*(right.column(c).to_pylist() for c in ("position", "codes", "said", "n"))):
-                forms[order[at]] = codes, said, n
-        else:  # rows of this bucket came in another order than before: encoded here
-            vocab = split.pieces()
-            for i, w in enumerate(names):
-                x = split.ids(w)
-                forms[i] = " ".join(map(str, x)), " ".join([vocab[k] for k in x]), len(x)
-        out: list[list] = [[] for _ in result]
-        for i, numbers in zip(ids_of, own):
-            found = [forms[k] for k in numbers]
-            codes, said = " ".join([f[0] for f in found if f[2]]), " ".join([f[1] for f in found if f[2]])
-            if digests:
-                row = i, sum([f[2] for f in found]), hashlib.sha256(codes.encode()).hexdigest(), hashlib.sha256(said.encode()).hexdigest()
-            else:
-                row = i, [int(x) for x in codes.split()], said
-            for c, v in zip(out, row):
-                c.append(v)
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, result)], schema=result)
-
-    words = materialize(docs.mapInArrow(distinct, _WORDS), "words")
-    # rows are numbered, as a word may be long and is not repeated for each of its ids
-    codes = materialize(words.select("word").distinct().mapInArrow(encoded, _CODES).withColumn("row", F.monotonically_increasing_id()), "codes")
-    named = codes.select("row", "word", F.array_join(F.col("ids").cast("array<string>"), " ").alias("codes"), F.size("ids").alias("n"))
-    forms = materialize(named.join(_spoken(codes.select("row", "ids"), path, ["row"]).withColumnRenamed("text", "said").hint("merge"), "row").drop("row"), "forms")
-    placed = words.join(forms.hint("merge"), "word").select("bucket", "mark", "position", "codes", "said", "n")
-    done = materialize(docs.mapInArrow(deal, "bucket long, docs binary").groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInArrow(meet, _DIGESTS if digests else _IDS), "encoded")
-    for t in (words, codes, forms):
-        drop_cut(t)
-    return done
-
-
-def _spoken(rows: DataFrame, path: str, keys: list[str | Column]) -> DataFrame:
-    """keys and text of rows (keys, ids): each id meets its piece in the vocabulary's table, which has a fixed number of rows."""
-    pieces = F.broadcast(rows.sparkSession.createDataFrame(list(enumerate(Splitter(path, True).pieces())), "id int, piece string"))
-    got = rows.select(*keys, F.posexplode_outer("ids").alias("at", "id")).join(pieces, "id", "left")
-    return got.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p")).select(*keys, F.array_join(F.col("p.piece"), " ").alias("text"))
+        word: dict[str, tuple[bytes, str, int]] = {}
+        vocab = split.pieces()
+        got = {s: (m, i) for s, m, i in zip(right["slice"], right["mark"], right["ids"])}
+        for k, words in enumerate(_slices(split, rows, n)):
+            mark, blob = got.get(k, (-1, b""))
+            if mark == zlib.crc32(_joined(words)) and words:
+                x = np.frombuffer(zlib.decompress(blob), "<u4").tolist()
+                sizes, flat, at = x[1 : x[0] + 1], x[x[0] + 1 :], 0
+                for w, m in zip(words, sizes):
+                    word[w] = _forms(flat[at : at + m], vocab)
+                    at += m
+            else:  # rows of this bucket came in another order than before: encoded here
+                for w in words:
+                    word[w] = _forms(split.ids(w), vocab)
+        out = []
+        for i, t in zip(ids_of, rows):
+            found = [word[w] for w in split.words(t)]
+            text, count = " ".join([f[1] for f in found]), sum([f[2] for f in found])
+            ids = " ".join([f[0] for f in found])
+            out.append((i, count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()) if digests else (i, [int(x) for x in ids.split()], text))
+        del word, got, rows
+        release()
+        return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]).astype({"doc_id": "Int64"})
+
+    table = materialize(docs.mapInArrow(distinct, "slice int, bucket long, mark long, words binary").groupBy("slice").applyInArrow(encoded, "bucket long, slice int, mark long, ids binary"), "words")
+    return docs.mapInArrow(deal, "bucket long, docs binary").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(meet, _DIGESTS if digests else _IDS)
+
+
+def _forms(ids: list[int], vocab: list[str]) -> tuple[str, str, int]:
+    return " ".join(map(str, ids)), " ".join([vocab[i] for i in ids]), len(ids)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id and text of (doc_id, ids array<int>); rows are numbered first, so repeated ones stay apart. Null or empty ids give an empty text."""
-    return _spoken(encoded.select(F.monotonically_increasing_id().alias("row"), "doc_id", "ids"), path, ["row", "doc_id"]).select("doc_id", "text")
+    """doc_id and text of (doc_id, ids array<int>): each id meets its piece in the vocabulary's table, which has a fixed number of rows."""
+    spark = encoded.sparkSession
+    pieces = F.broadcast(spark.createDataFrame(list(enumerate(Splitter(path, True).pieces())), "id int, piece string"))
+    rows = encoded.select(F.monotonically_increasing_id().alias("row"), "doc_id", "ids").select("row", "doc_id", F.posexplode_outer("ids").alias("at", "id"))
+    got = rows.join(pieces, "id", "left").groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
+    return got.select("doc_id", F.array_join(F.col("p.piece"), " ").alias("text"))

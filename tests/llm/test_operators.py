@@ -239,7 +239,7 @@ def test_bpe_round_trip(spark):
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     ids_of = [(i, t.encode(x or "", add_special_tokens=False).ids) for i, x in rows]
     want = sorted(((i, len(ids), sha(" ".join(map(str, ids))), sha(t.decode(ids, skip_special_tokens=False))) for i, ids in ids_of), key=str)
-    assert sorted((tuple(x) for x in encode(df, path, digests=True, bucket_bytes=3000).collect()), key=str) == want
+    assert sorted((tuple(x) for x in encode(df, path, digests=True, bucket_bytes=3000, slice_bytes=4000).collect()), key=str) == want
     ids = encode(df, path)
     assert {x.doc_id: x.text for x in decode(ids.select("doc_id", "ids"), path).collect()} == {x.doc_id: x.decoded for x in ids.collect()}
 
