@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,9 +27,18 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+_TASK: list[int] = [-1]
+
+
 def release() -> None:
-    """Gives freed memory of a Python worker back: workers are reused, and what one task held would stay with the next."""
-    gc.collect()
+    """In the first call of a task, gives back what this Python worker's earlier tasks have freed: workers are reused, and would keep it.
+
+    Once a task, as memory that is given back must be cleared anew when it is used.
+    """
+    task = TaskContext.get()
+    if task is None or task.taskAttemptId() == _TASK[0]:
+        return
+    _TASK[0] = task.taskAttemptId()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -38,28 +47,22 @@ def release() -> None:
 
 
 def tidy(run: Callable) -> Callable:
-    """run, a function of Arrow batches or of tables of groups, with release() when it has ended."""
+    """run, a function of Arrow batches or of tables of groups, with release() before it."""
 
     @wraps(run)
     def batches(some):
-        try:
-            yield from run(some)
-        finally:
-            release()
+        release()
+        yield from run(some)
 
     @wraps(run)
     def table(t):
-        try:
-            return run(t)
-        finally:
-            release()
+        release()
+        return run(t)
 
     @wraps(run)
     def tables(left, right):
-        try:
-            return run(left, right)
-        finally:
-            release()
+        release()
+        return run(left, right)
 
     if "RecordBatch" in str(run.__annotations__.get("return")):
         return batches
