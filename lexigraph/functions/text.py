@@ -102,6 +102,11 @@ def ngrams(c, n: int = 3) -> Column:
     return F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, F.lit(n)))).otherwise(F.expr("cast(array() as array<string>)"))
 
 
+def content_hash(c) -> Column:
+    """The SHA-256 of a text's UTF-8 bytes, or of bytes, in lowercase hexadecimal digits."""
+    return F.sha2(_col(c).cast("binary"), 256)
+
+
 def key_of(*parts, sep: str = "|") -> Column:
     return F.concat_ws(sep, *map(_col, parts))
 

@@ -705,7 +705,7 @@ def ingest_changes(spark, sf):
     graph = store.GraphStore(spark, f"{shared_dir(spark)}/lexigraph-ingest-{uuid.uuid4().hex}")
     triples_of = lambda d: ex.extract(d.select("seq", "doc_id", "text"), FirstWords)
     graph.upsert(triples_of(before), "lower")
-    state = lambda d: d.select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("checksum"), F.lit(0.0).alias("modified_at"))
+    state = lambda d: d.select("doc_id", text.content_hash(F.coalesce("text", F.lit(""))).alias("checksum"), F.lit(0.0).alias("modified_at"))
     into_store(graph, lambda: now, triples_of, "lower")(changes.diff(state(before), state(now)))
     return graph.edges.select("subject", "predicate", "object", "source_doc_id")
 
@@ -717,7 +717,7 @@ _STATES = "with b as (select doc_id, sha256(text) as c from documents where doc_
 
 def _events(spark, sf) -> DataFrame:
     d = _t(spark, sf, "documents").select(F.col("doc_id").alias("n"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    state = lambda x, t: x.select("doc_id", F.sha2(t.cast("binary"), 256).alias("checksum"), F.lit(0.0).alias("modified_at"))
+    state = lambda x, t: x.select("doc_id", text.content_hash(t).alias("checksum"), F.lit(0.0).alias("modified_at"))
     now = F.when(F.col("n") % 10 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     return changes.diff(state(d.filter("n % 10 <> 3"), F.col("text")), state(d.filter("n % 10 <> 7"), now))
 

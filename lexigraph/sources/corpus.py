@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import content_hash
 from ..operators.triples import fixed_batches
 
 
@@ -26,4 +27,4 @@ def documents(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
 def snapshot(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """(doc_id, checksum, modified_at) of every file under root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    return files.select(_relative(F.col("path"), root).alias("doc_id"), F.sha2("content", 256).alias("checksum"), F.col("modificationTime").cast("double").alias("modified_at"))
+    return files.select(_relative(F.col("path"), root).alias("doc_id"), content_hash("content").alias("checksum"), F.col("modificationTime").cast("double").alias("modified_at"))

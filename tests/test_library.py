@@ -380,6 +380,50 @@ def test_viewer_values(spark):
     assert day.select(text.disposition("t")).first()[0] == 'attachment; filename="lexigraph-2024-05-01.graphml"'
 
 
+def test_reports_and_files_of_rules(spark, tmp_path):
+    rules = ontology.rules(spark, [("B", "x", "C"), ("A", "is in", "C"), ("B", "x", "C")])
+    at = str(tmp_path / "rules.json")
+    ontology.save(rules, at)
+    assert [r["subject_type"] for r in json.loads((tmp_path / "rules.json").read_text())] == ["A", "B"]
+    assert ontology.load(spark, at).count() == 2
+    (tmp_path / "bad.json").write_text("{}")
+    with pytest.raises(ValueError):
+        ontology.load(spark, str(tmp_path / "bad.json"))
+    df = facts(spark, [("a", "Q", "r", "b", "Q", 1.0, "d")])
+    assert [x.line for x in ontology.reject_lines(ontology.violations(df, rules)).collect()] == ["REJECT a -[r]-> b: no ontology rule allows Q -[r]-> Q"]
+    found = spark.createDataFrame([("a", "b", "relates to", 0.555)], "source string, target string, predicate string, score double")
+    assert bridges.report_lines(found).first().line in ("BRIDGE a -[relates to]-> b (0.55)", "BRIDGE a -[relates to]-> b (0.56)")
+
+
+def test_resolution_rewrites_whole_graphs(spark):
+    df = facts(spark, [("Acme Works", "ORG", "makes", "bolt", "PRODUCT", 1.0, "d"), ("acme works ", "ORG", "is in", "Ulm", "GPE", 1.0, "d"), ("acme workss", "ORG", "sells", "bolt", "PRODUCT", 1.0, "d")])
+    done = resolution.resolve(df)
+    names = {x.s for x in done.triples.select(F.col("subject.name").alias("s")).collect()}
+    assert names == {"acme works"} and {x.name for x in done.mapping.collect()} == {"acme works", "acme workss", "bolt", "ulm"}
+    assert [x.line for x in resolution.merge_lines(done).collect()][0].startswith("MERGE acme works <- acme workss (0.9")
+
+
+def test_small_functions(spark):
+    from lexigraph.functions import scores, text
+    from lexigraph.sources import prompts
+
+    row = spark.createDataFrame([("a" * 29, "x")], "long string, name string")
+    got = row.select(text.truncate_label("long"), text.truncate_label("name"), text.content_hash("name"), text.key_of("name", "name")).first()
+    import hashlib
+
+    assert got[0] == "a" * 27 + "…" and got[1] == "x" and got[2] == hashlib.sha256(b"x").hexdigest() and got[3] == "x|x"
+    h = 0
+    for c in "node-7":
+        h = (h * 31 + ord(c)) % 100_000
+    assert scores.seed_phase("node-7") == pytest.approx(h / 100_000 * 2 * 3.141592653589793)
+    base, over = prompts.PromptConfig("news", 1), prompts.PromptConfig(few_shot_count=0)
+    assert prompts.overlay(base, over) == prompts.PromptConfig("news", 0)
+    assert prompts.diff(base, over) == {"domain": ("news", "general"), "few_shot_count": (1, 0)}
+    assert len(prompts.fingerprint()) == 12 and prompts.domains() == sorted(prompts.HINTS)
+    events = spark.createDataFrame([("a", "upsert"), ("b", "delete")], "doc_id string, kind string")
+    assert [x.doc_id for x in changes.upserts(events).collect()] == ["a"]
+
+
 def test_prompt_helpers():
     from lexigraph.sources import prompts
 
@@ -452,6 +496,18 @@ def test_watcher(spark, tmp_path):
     q.awaitTermination(60)
 
 
+def test_event_windows_as_a_stream(spark, tmp_path):
+    from lexigraph.streaming.changes import event_windows
+
+    rows = spark.sql("select timestamp '2024-01-01 00:10:00' + make_interval(0, 0, 0, 0, 0, n * 25, 0) as ts, if(n % 2 = 0, 'a', 'b') as event_type, double(n) as value from (select explode(sequence(0, 9)) as n)")
+    rows.write.parquet(str(tmp_path / "events"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "events"))
+    q = event_windows(stream).writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    key = lambda x: (str(x.window_start), x.event_type, x.n, x.total)
+    assert sorted(map(key, spark.table("windows").collect())) == sorted(map(key, event_windows(rows).collect())) and q.exception() is None
+
+
 def test_views(spark):
     nodes = spark.createDataFrame([("a", "Alpha", "ORG"), ("b", "Beta", "GPE")], "id string, label string, type string")
     assert views.substring_filter(nodes, " ALP").count() == 1 and views.substring_filter(nodes, " ").count() == 2
