@@ -122,7 +122,7 @@ def panel_title(label) -> Column:
 
 def metric(c) -> Column:
     """Two decimals, or a dash where there is no number."""
-    return F.coalesce(F.format_string("%.2f", _col(c)), F.lit("—"))
+    return F.when(_col(c).isNotNull(), F.format_string("%.2f", _col(c))).otherwise("—")
 
 
 def row_size(df) -> Column:

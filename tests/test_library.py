@@ -400,7 +400,7 @@ def test_resolution_rewrites_whole_graphs(spark):
     done = resolution.resolve(df)
     names = {x.s for x in done.triples.select(F.col("subject.name").alias("s")).collect()}
     assert names == {"acme works"} and {x.name for x in done.mapping.collect()} == {"acme works", "acme workss", "bolt", "ulm"}
-    assert [x.line for x in resolution.merge_lines(done).collect()][0].startswith("MERGE acme works <- acme workss (0.9")
+    assert [x.line for x in resolution.merge_lines(done).collect()][0].startswith("MERGE acme works <- acme workss (0.858)")
 
 
 def test_small_functions(spark):
