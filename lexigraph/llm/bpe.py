@@ -102,7 +102,6 @@ def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([blob], pa.binary())], schema=dealt)
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        release()
         split = Splitter(path, lower)
         ids_of, rows = [], []
         for blob in left["docs"]:
@@ -129,6 +128,8 @@ def encode(docs: DataFrame, path: str, lower: bool = True, bucket_bytes: int = 8
             text, count = " ".join([f[1] for f in found]), sum([f[2] for f in found])
             ids = " ".join([f[0] for f in found])
             out.append((i, count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()) if digests else (i, [int(x) for x in ids.split()], text))
+        del word, got, rows
+        release()
         return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"]).astype({"doc_id": "Int64"})
 
     table = materialize(docs.mapInArrow(distinct, "slice int, bucket long, mark long, words binary").groupBy("slice").applyInArrow(encoded, "bucket long, slice int, mark long, ids binary"), "words")

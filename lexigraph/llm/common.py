@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import ctypes
+import gc
+import time
 from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,18 +28,17 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
-_TASK: list[int] = [-1]
+_COLLECTED = [0.0]
 
 
 def release() -> None:
-    """In the first call of a task, gives back what this Python worker's earlier tasks have freed: workers are reused, and would keep it.
+    """Gives freed memory of a Python worker back: workers are reused, and what one task held would stay with the next.
 
-    Once a task, as memory that is given back must be cleared anew when it is used.
+    Cycles are looked for every two seconds at most, as that takes longer than the rest.
     """
-    task = TaskContext.get()
-    if task is None or task.taskAttemptId() == _TASK[0]:
-        return
-    _TASK[0] = task.taskAttemptId()
+    if time.monotonic() - _COLLECTED[0] > 2:
+        gc.collect()
+        _COLLECTED[0] = time.monotonic()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -47,22 +47,28 @@ def release() -> None:
 
 
 def tidy(run: Callable) -> Callable:
-    """run, a function of Arrow batches or of tables of groups, with release() before it."""
+    """run, a function of Arrow batches or of tables of groups, with release() when it has ended."""
 
     @wraps(run)
     def batches(some):
-        release()
-        yield from run(some)
+        try:
+            yield from run(some)
+        finally:
+            release()
 
     @wraps(run)
     def table(t):
-        release()
-        return run(t)
+        try:
+            return run(t)
+        finally:
+            release()
 
     @wraps(run)
     def tables(left, right):
-        release()
-        return run(left, right)
+        try:
+            return run(left, right)
+        finally:
+            release()
 
     if "RecordBatch" in str(run.__annotations__.get("return")):
         return batches
