@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..types import CONCEPT, INFERRED_DOC
-from .tables import cut, drop_cut
+from .tables import cut, drop_cut, small
 
 
 def _ends(edges: DataFrame) -> DataFrame:
@@ -107,42 +107,54 @@ def top_hops(edges: DataFrame, k: int = 3) -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, source: str, target: str, hops: int = 3, limit: int = 3) -> DataFrame:
-    """The shortest undirected paths of at most so many edges, as (hops, path, all_inferred), in the order of path.
+    """The shortest undirected paths of at most so many edges, as (hops, path, all_inferred), in the order of path."""
+    return shortest_paths_of(edges, [(source, target)], hops, limit).select("hops", "path", "all_inferred")
+
+
+def shortest_paths_of(edges: DataFrame, pairs: list[tuple[str, str]], hops: int = 3, limit: int = 3) -> DataFrame:
+    """shortest_paths() of all pairs (source, target) in one search, as (source, target, hops, path, all_inferred): a step reads the edges once.
 
     The search goes from both ends, so no frontier is wider than half the hops make it. A frontier holds nodes that no
     earlier one held and, for each, the `limit` least paths to it: those of one length only compete at their own end, so
-    the least whole paths are among their combinations.
+    the least whole paths are among their combinations. A pair whose paths were found takes no further step.
     """
     if hops < 1:
         raise ValueError("hops must be positive")
-    spark = edges.sparkSession
-    if source == target:
-        known = not edges.filter((F.col("subject") == source) | (F.col("object") == source)).isEmpty()
-        return spark.createDataFrame([(0, [source], False)] if known else [], "hops int, path array<string>, all_inferred boolean")
-    ends = _ends(edges.select("subject", "object", F.coalesce("inferred", F.lit(False)).alias("inferred")).filter("subject <> object"))
-    front = lambda name: spark.createDataFrame([(name, [name], True)], "end string, path array<string>, all boolean")
-    sides, seen = [front(source), front(target)], [front(source).select("end"), front(target).select("end")]
+    spark, schema = edges.sparkSession, "source string, target string, hops int, path array<string>, all_inferred boolean"
+    same = sorted({a for a, b in pairs if a == b})
+    known = {r[0] for r in _ends(edges.filter(F.col("subject").isin(same) | F.col("object").isin(same))).filter(F.col("name").isin(same)).select("name").distinct().collect()} if same else set()
+    found = [(i, 0, [a], False) for i, (a, b) in enumerate(pairs) if a == b and a in known]
+    open_ = [i for i, (a, b) in enumerate(pairs) if a != b]
+    ends = _ends(edges.select("subject", "object", F.coalesce("inferred", F.lit(False)).alias("inferred")).filter("subject <> object")).select("name", "other", "inferred")
+    front = lambda k: spark.createDataFrame([(i, pairs[i][k], [pairs[i][k]], True) for i in open_], "pair int, end string, path array<string>, all boolean")
+    sides = [F.broadcast(front(0)), F.broadcast(front(1))]
+    seen = [side.select("pair", "end") for side in sides]
     used: list[DataFrame] = []
 
     def grow(k: int) -> None:
-        step = sides[k].join(ends, F.col("end") == F.col("name")).groupBy("end", "path", "all", "other").agg(F.min("inferred").alias("inferred"))
-        new = step.select(F.col("other").alias("end"), (F.array_append("path", F.col("other")) if not k else F.array_prepend("path", F.col("other"))).alias("path"), (F.col("all") & F.col("inferred")).alias("all"))
-        best = Window.partitionBy("end").orderBy(F.array_join("path", "\x01"))
-        new = new.join(seen[k], "end", "left_anti").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= limit).drop("nth")
-        sides[k] = cut(new, "front")
-        seen[k] = seen[k].unionByName(sides[k].select("end"))
-        used.append(sides[k])
+        step = ends.join(sides[k].filter(F.col("pair").isin(open_)), F.col("end") == F.col("name")).groupBy("pair", "end", "path", "all", "other").agg(F.min("inferred").alias("inferred"))
+        new = step.select("pair", F.col("other").alias("end"), (F.array_append("path", F.col("other")) if not k else F.array_prepend("path", F.col("other"))).alias("path"), (F.col("all") & F.col("inferred")).alias("all"))
+        best = Window.partitionBy("pair", "end").orderBy(F.array_join("path", "\x01"))
+        new = new.join(seen[k], ["pair", "end"], "left_anti").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= limit).drop("nth")
+        held = cut(new, "front")
+        used.append(held)
+        sides[k] = small(held)
+        seen[k] = seen[k].unionByName(held.select("pair", "end"))
 
     for n in range(1, hops + 1):
+        if not open_:
+            break
         grow((n + 1) % 2)
-        left, right = sides[0], sides[1].select("end", F.col("path").alias("tail"), F.col("all").alias("tail_all"))
-        met = left.join(right, "end").select(F.lit(n).alias("hops"), F.concat(F.slice("path", 1, F.size("path") - 1), "tail").alias("path"), (F.col("all") & F.col("tail_all")).alias("all_inferred"))
-        found = met.orderBy(F.array_join("path", "\x01")).limit(limit).collect()  # limit rows
-        if found or n == hops:
-            for t in used:
-                drop_cut(t)
-            return spark.createDataFrame(found, "hops int, path array<string>, all_inferred boolean")
-    raise AssertionError
+        left, right = sides[0], sides[1].select("pair", "end", F.col("path").alias("tail"), F.col("all").alias("tail_all"))
+        met = left.filter(F.col("pair").isin(open_)).join(right, ["pair", "end"]).select("pair", F.lit(n).alias("hops"), F.concat(F.slice("path", 1, F.size("path") - 1), "tail").alias("path"), (F.col("all") & F.col("tail_all")).alias("all_inferred"))
+        order = F.array_join("path", "\x01")
+        least = met.withColumn("nth", F.row_number().over(Window.partitionBy("pair").orderBy(order))).filter(F.col("nth") <= limit)
+        rows = [tuple(r) for r in least.orderBy("pair", "nth").drop("nth").collect()]  # limit rows a pair
+        found += rows
+        open_ = [i for i in open_ if i not in {r[0] for r in rows}]
+    for t in used:
+        drop_cut(t)
+    return spark.createDataFrame([(*pairs[i], *rest) for i, *rest in sorted(found, key=lambda r: r[0])], schema)
 
 
 def answers(paths: DataFrame) -> DataFrame:
