@@ -34,20 +34,21 @@ def _on(rule: DataFrame) -> Column:
 
 
 def _marked(rule_set: DataFrame) -> DataFrame:
+    """Distinct rules to be broadcast: types and predicates are few, so a join by them would put all triples of a rule in one task."""
     return rule_set.select(F.col("subject_type").alias("__s"), F.lower("predicate").alias("__p"), F.col("object_type").alias("__o")).distinct()
 
 
 def kept(triples: DataFrame, rule_set: DataFrame) -> DataFrame:
     """Triples that a rule allows; without rules all are."""
     own = _marked(rule_set)
-    return triples if own.isEmpty() else triples.join(own, _on(own), "left_semi")
+    return triples if own.isEmpty() else triples.join(F.broadcast(own), _on(own), "left_semi")
 
 
 def violations(triples: DataFrame, rule_set: DataFrame) -> DataFrame:
     """The other triples, with a reason."""
     own = _marked(rule_set)
     reason = F.format_string("no ontology rule allows %s -[%s]-> %s", "subject.entity_type", "predicate", "object.entity_type")
-    rest = triples.limit(0) if own.isEmpty() else triples.join(own, _on(own), "left_anti")
+    rest = triples.limit(0) if own.isEmpty() else triples.join(F.broadcast(own), _on(own), "left_anti")
     return rest.withColumn("reason", reason)
 
 
@@ -61,7 +62,7 @@ def coverage(triples: DataFrame, rule_set: DataFrame) -> DataFrame:
     own = _marked(rule_set).withColumn("__hit", F.lit(1.0))
     if own.isEmpty():
         return triples.agg(F.lit(1.0).alias("coverage"))
-    return triples.join(own, _on(own), "left").agg(F.coalesce(F.avg(F.coalesce("__hit", F.lit(0.0))), F.lit(1.0)).alias("coverage"))
+    return triples.join(F.broadcast(own), _on(own), "left").agg(F.coalesce(F.avg(F.coalesce("__hit", F.lit(0.0))), F.lit(1.0)).alias("coverage"))
 
 
 def summary(rule_set: DataFrame) -> DataFrame:

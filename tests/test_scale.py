@@ -28,6 +28,14 @@ def folders(spark, name):
     return {n for n in os.listdir(tables.shared_dir(spark).removeprefix("file:")) if n.startswith(f"lexigraph-{name}-")}
 
 
+def test_rules_do_not_deal_triples_by_type(spark):
+    own = facts(spark, [(i, "a", "X", "is", "b", "Y", "d") for i in range(9)])
+    rule_set = ontology.rules(spark, [("X", "IS", "Y")])
+    for df in (ontology.kept(own, rule_set), ontology.violations(own, rule_set), ontology.coverage(own, rule_set)):
+        assert "BroadcastHashJoin" in plan(df) and "SortMergeJoin" not in plan(df)
+    assert ontology.kept(own, rule_set).count() == 9 and ontology.violations(own, rule_set).count() == 0
+
+
 def test_paths_of_many_pairs_are_those_of_each(spark):
     links = [("a", "b", False), ("b", "c", True), ("c", "d", True), ("a", "e", True), ("e", "c", True), ("d", "d", False), ("x", "y", False)]
     e = spark.createDataFrame([(s, "is", o, 0.5, "d", i) for s, o, i in links], "subject string, predicate string, object string, confidence double, source_doc_id string, inferred boolean")
