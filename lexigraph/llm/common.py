@@ -13,21 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..plans.tables import BATCH_BYTES, bounded_batches  # noqa: F401
 from ..plans.tables import cut as materialize  # noqa: F401
 
 
-#: Bytes of a batch that goes to a Python worker: batches by rows alone would grow with the texts.
-BATCH_BYTES = 4 << 20
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """From now on the session's Arrow batches hold about BATCH_BYTES at most (or one row), unless it has a lower bound."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    own = spark.conf.get(name, None)
-    if not own or not own.isdigit() or int(own) > BATCH_BYTES:
-        spark.conf.set(name, str(BATCH_BYTES))
-
-
 _COLLECTED = [0.0]
 
 

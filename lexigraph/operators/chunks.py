@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions.text import spans_in, token_estimate
+from ..plans.tables import bounded_batches
 from ..types import ChunkConfig
 
 _CHUNKS = "array<struct<index:int,text:string,start:int,end:int>>"
@@ -60,6 +61,7 @@ def chunk(docs: DataFrame, how: ChunkConfig = ChunkConfig(), id_col: str = "doc_
     seq_col: the documents' order. Chunks then have seq, which grows by document and by index: documents keep their order,
     and a document's chunks theirs. A document has at most 2 ** 20 windows.
     """
+    bounded_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), *([F.col(seq_col).cast("bigint").alias("s")] if seq_col else []))
     got = own.withColumn("c", F.explode(chunk_array("t", how)))
     seq = [(F.col("s") * (1 << 20) + F.col("c.index")).alias("seq")] if seq_col else []
@@ -68,6 +70,7 @@ def chunk(docs: DataFrame, how: ChunkConfig = ChunkConfig(), id_col: str = "doc_
 
 def chunk_stats(docs: DataFrame, how: ChunkConfig = ChunkConfig()) -> DataFrame:
     """For each document: count, min, mean (rounded down) and max of its chunks' lengths; zeros without any."""
+    bounded_batches(docs.sparkSession)
     n = F.transform(chunk_array("t", how), lambda c: F.length(c["text"]))
     own = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t")).select("doc_id", n.alias("n"))
     total = F.aggregate("n", F.lit(0), lambda a, x: a + x)
@@ -94,6 +97,7 @@ def budget_batches(chunks: DataFrame, budget: int, key: str = "doc_id", order: s
 
     A batch depends on all before it, so one key's token counts (not its texts) meet in one row.
     """
+    bounded_batches(chunks.sparkSession)
     got = chunks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, token_estimate("text").alias("tokens")))).alias("rows"))
     placed = got.select(key, F.explode(F.arrays_zip("rows", _budgeted(F.col("rows.tokens"), F.lit(budget)).alias("batch"))).alias("r"))
     return placed.select(key, f"r.rows.{order}", "r.rows.tokens", "r.batch")

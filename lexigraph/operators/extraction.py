@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.tables import cut
+from ..plans.tables import bounded_batches, cut
 from ..sources.completions import completions
 from ..sources.prompts import PromptConfig, prompt
 from ..types import CONCEPT, ENTITY, SPAN, ExtractionConfig
@@ -142,6 +142,7 @@ def parse(answers: DataFrame, lenient: bool = True) -> DataFrame:
                     out.append((batch, doc, n, *(got.get(k) for k in names), error))
             yield pd.DataFrame(out, columns=["batch_id", "doc_id", "item", *names, "error"])
 
+    bounded_batches(answers.sparkSession)
     return answers.select("batch_id", "doc_ids", "raw").mapInPandas(run, _ITEMS)
 
 

@@ -12,7 +12,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..plans.tables import cut
+from ..plans.tables import bounded_batches, cut
 
 
 class Client(Protocol):
@@ -107,6 +107,7 @@ def completions(prompts: DataFrame, client: Callable[[], Client], max_retries: i
             got = [with_retries(own, p, max_retries) for p in f["prompt"]]
             yield f.assign(raw=[g[0] for g in got], retries=[g[1] for g in got])
 
+    bounded_batches(prompts.sparkSession)  # a prompt holds whole texts
     return cut(prompts.mapInPandas(run, schema), "completions")
 
 
@@ -137,4 +138,5 @@ def embeddings(names: DataFrame, embed: Callable[[], Callable[[str], list[float]
         for f in frames:
             yield pd.DataFrame({"name": f[name], "embedding": [list(map(float, own(x))) for x in f[name]]})
 
+    bounded_batches(names.sparkSession)
     return cut(names.select(name).distinct().mapInPandas(run, "name string, embedding array<double>"), "embeddings")

@@ -53,3 +53,18 @@ def test_paths_of_many_pairs_are_those_of_each(spark):
                 break
             every = [[*p, n] for p in every for n in near[p[-1]] if n not in p]
     assert [tuple(x) for x in reads.shortest_paths_of(e, pairs).collect()] == want and len(want) > 6
+
+
+@pytest.mark.parametrize("what", ["chunks", "stats", "answers", "items"])
+def test_batches_to_python_are_bounded_by_bytes(spark, what):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    docs = spark.createDataFrame([(i, str(i), "some words. " * 9) for i in range(20)], "seq long, doc_id string, text string")
+    if what == "answers":
+        got = extraction.extract(docs, FirstWords)
+    elif what == "items":
+        got = extraction.parse(docs.select(F.col("seq").alias("batch_id"), F.array("doc_id").alias("doc_ids"), F.lit("[]").alias("raw")))
+    else:
+        got = chunks.chunk(docs) if what == "chunks" else chunks.chunk_stats(docs)
+    assert int(spark.conf.get(name)) <= tables.BATCH_BYTES
+    got.collect()
