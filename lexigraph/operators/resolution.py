@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_key
-from ..plans.tables import cut
+from ..plans.tables import cut, small
 from ..types import ResolveConfig
 from .components import connected
 from .similarity import pairs, vectors
@@ -72,13 +72,14 @@ def resolve_names(names: DataFrame, how: ResolveConfig = ResolveConfig(), hashin
 
 
 def rewrite(triples: DataFrame, mapping: DataFrame, fold: str = "casefold") -> DataFrame:
-    """Every endpoint takes its canonical name; a name without one takes its own identity."""
+    """Every endpoint takes its canonical name; a name without one takes its own identity. Names are folded and looked up once each, not once a triple."""
+    keys = mentions(triples).select(F.col("name").alias("__name")).distinct().withColumn("__key", norm_key("__name", fold))
+    m = mapping.select(F.col("name").alias("__of"), F.col("canonical").alias("__canonical"))
+    found = small(cut(keys.join(m, F.col("__key") == F.col("__of"), "left").select("__name", F.coalesce("__canonical", "__key").alias("__to")), "names"))
     out = triples
     for end in ("subject", "object"):
-        m = mapping.select(F.col("name").alias("__name"), F.col("canonical").alias("__canonical"))
-        out = out.withColumn("__key", norm_key(f"{end}.name", fold)).join(m, F.col("__key") == F.col("__name"), "left")
-        name = F.coalesce("__canonical", "__key")
-        out = out.withColumn(end, F.struct(name.alias("name"), F.col(f"{end}.entity_type").alias("entity_type"))).drop("__key", "__name", "__canonical")
+        out = out.join(found, F.col(f"{end}.name") == F.col("__name"), "left")
+        out = out.withColumn(end, F.struct(F.col("__to").alias("name"), F.col(f"{end}.entity_type").alias("entity_type"))).drop("__name", "__to")
     return out.select(triples.columns)
 
 

@@ -36,6 +36,13 @@ def test_rules_do_not_deal_triples_by_type(spark):
     assert ontology.kept(own, rule_set).count() == 9 and ontology.violations(own, rule_set).count() == 0
 
 
+def test_rewriting_folds_names_not_triples(spark):
+    own = facts(spark, [(0, "Straße", "X", "is", "b", "Y", "d"), (1, " B", "X", "is", None, "Y", "d")])
+    got = resolution.rewrite(own, spark.createDataFrame([("strasse", "road")], "name string, canonical string"))
+    assert "Python" not in plan(got)
+    assert {(x.seq, x.subject.name, x.object.name, x.object.entity_type) for x in got.collect()} == {(0, "road", "b", "Y"), (1, "b", None, "Y")}
+
+
 def test_paths_of_many_pairs_are_those_of_each(spark):
     links = [("a", "b", False), ("b", "c", True), ("c", "d", True), ("a", "e", True), ("e", "c", True), ("d", "d", False), ("x", "y", False)]
     e = spark.createDataFrame([(s, "is", o, 0.5, "d", i) for s, o, i in links], "subject string, predicate string, object string, confidence double, source_doc_id string, inferred boolean")
