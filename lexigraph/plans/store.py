@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import norm_key
+from ..functions.text import same_key
 from ..operators.triples import edge_rows, node_rows
 from ..types import EDGE, NODE, LoadConfig
 from . import reads
@@ -48,7 +48,12 @@ def merge_edges(edges: DataFrame, new: DataFrame, nodes: DataFrame) -> DataFrame
     columns = [*key, "confidence", "source_doc_id", "inferred"]
     for end in ("subject", "object"):
         new = new.join(nodes.select(F.col("name").alias(end)), end, "left_semi")
-    return edges.join(new.select(key), key, "left_anti").select(columns).unionByName(new.select(columns))
+    return _replaced(edges, new.select(columns))
+
+
+def _replaced(edges: DataFrame, new: DataFrame) -> DataFrame:
+    key = ["subject", "predicate", "object"]
+    return edges.join(new.select(key), key, "left_anti").select(new.columns).unionByName(new)
 
 
 def delete_documents(edges: DataFrame, doc_ids: DataFrame) -> DataFrame:
@@ -108,20 +113,28 @@ class GraphStore:
         fs.create(done, False).close()
         return v
 
-    def upsert(self, triples: DataFrame, fold: str = "casefold", instead_of: DataFrame | None = None) -> LoadStats:
-        """Nodes first, then edges between known nodes, as one new version. Repeating a load changes nothing.
+    def upsert(self, triples: DataFrame, fold: str = "casefold", instead_of: DataFrame | None = None, written: bool = False) -> LoadStats:
+        """Nodes first, then edges, both of whose ends are among them, as one new version. Repeating a load changes nothing.
 
-        instead_of: documents (column doc_id) whose edges go in the same version.
+        instead_of: documents (column doc_id) whose edges go in the same version. written: triples are a written table; others
+        are written first, so that what the caller's plan costs is paid once.
         """
         began, self._retries = time.time(), 0
-        own = cut(triples, "load")  # what the caller's plan costs is paid once
-        nodes = merge_nodes(self.nodes, node_rows(own))
-        old = self.edges if instead_of is None else delete_documents(self.edges, instead_of)
-        v = self._commit(nodes, merge_edges(old, edge_rows(own, fold), nodes))
-        stored = self.spark.read.schema(NODE).parquet(f"{self.path}/{v}/nodes")
-        n, e = node_rows(own).count(), merge_edges(self.edges.limit(0), edge_rows(own, fold), stored).count()
-        loops = own.filter(norm_key("subject.name", fold) == norm_key("object.name", fold)).count()
-        drop_cut(own)
+        own = triples if written else cut(triples, "load")
+        held = [] if written else [own]
+        nodes, edges = node_rows(own), edge_rows(own, fold)
+        if self.version() is None:
+            self._commit(nodes, edges)
+            n, e = self.nodes.count(), self.edges.count()
+        else:
+            nodes, edges = cut(nodes, "load-nodes"), cut(edges, "load-edges")
+            held += [nodes, edges]
+            old = self.edges if instead_of is None else delete_documents(self.edges, instead_of)
+            self._commit(merge_nodes(self.nodes, nodes), _replaced(old, edges))
+            n, e = nodes.count(), edges.count()
+        loops = own.filter(same_key("subject.name", "object.name", fold)).count()
+        for t in held:
+            drop_cut(t)
         size = self.how.batch_size
         return LoadStats(n, e, loops, time.time() - began, -(-n // size) - (-e // size), self._retries)
 

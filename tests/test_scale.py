@@ -28,6 +28,40 @@ def folders(spark, name):
     return {n for n in os.listdir(tables.shared_dir(spark).removeprefix("file:")) if n.startswith(f"lexigraph-{name}-")}
 
 
+def test_a_written_table_is_not_written_again(spark, tmp_path):
+    own = facts(spark, [(0, "a", "X", "is", "b", "Y", "d"), (1, "b", "Z", "is", "B ", "Y", "e")])
+    before = folders(spark, "load")
+    g = store.GraphStore(spark, str(tmp_path / "g"))
+    got = g.upsert(own, written=True)
+    assert (got.nodes, got.relationships, got.skipped_self_loops) == (3, 1, 1) and folders(spark, "load") == before
+    again = g.upsert(own)
+    assert (again.nodes, again.relationships, again.skipped_self_loops) == (3, 1, 1) and g.nodes.count() == 3 and g.edges.count() == 1
+
+
+def test_nodes_and_edges_compare_places_before_texts(spark, monkeypatch):
+    rows = [(5, "a", "X", "is", "b", "Y", "d5"), (3, "b", "Z", "is", "c", "Y", "d3"), (3, "q", "Q", "is", "b", "R", "d3"), (-7, "a", "W", "is", "b", "V", "d-7"), (9, "a", "U", "is", "b", "T", "d9"), (None, "n", "N", "is", "a", "M", "d0")]
+    own = facts(spark, rows)
+    for few in (triples.FEW, 0):  # by broadcast, and dealt by places
+        monkeypatch.setattr(triples, "FEW", few)
+        nodes, edges = triples.node_rows(own), triples.edge_rows(own)
+        assert "LeftSemi" in plan(nodes) and ("LeftSemi" in plan(edges)) == (few > 0)
+        assert {(x.name, x.entity_type, x.last_seen_doc) for x in nodes.collect()} == {("a", "W", "d-7"), ("b", "V", "d-7"), ("c", "Y", "d3"), ("q", "Q", "d3"), ("n", None, None)}
+        assert {(x.subject, x.object): x.source_doc_id for x in edges.collect()} == {("a", "b"): "d9", ("b", "c"): "d3", ("q", "b"): "d3", ("n", "a"): None}
+
+
+def test_types_by_name_compare_numbers(spark):
+    own = facts(spark, [(0, "A", "X", "is", "b", "Y", "d"), (1, "a ", "Z", "is", "B", "Y", "d"), (2, "b", "W", "is", "c", "V", "d")])
+    got = triples.entity_types(own)
+    assert {(x.name, x.entity_type) for x in got.collect()} == {("a", "Z"), ("b", "W"), ("c", "V")} and "max(mention" in plan(got)
+
+
+def test_same_key(spark):
+    names = ["", " ", "a", "A", " a", "a  b", "A B", "a\u00a0b", "ab", "ß", "ss", "sS", "K", "\u212a", "I", "i", "\u0130", "x\ty", "x y", "a\n", "~", "!", None]
+    df = spark.createDataFrame(list(itertools.product(names, names)), "a string, b string")
+    for fold in ("lower", "casefold"):
+        assert df.filter(~same_key("a", "b", fold).eqNullSafe(norm_key("a", fold) == norm_key("b", fold))).collect() == []
+
+
 def test_rules_do_not_deal_triples_by_type(spark):
     own = facts(spark, [(i, "a", "X", "is", "b", "Y", "d") for i in range(9)])
     rule_set = ontology.rules(spark, [("X", "IS", "Y")])
