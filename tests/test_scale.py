@@ -28,6 +28,35 @@ def folders(spark, name):
     return {n for n in os.listdir(tables.shared_dir(spark).removeprefix("file:")) if n.startswith(f"lexigraph-{name}-")}
 
 
+def test_queries_of_facts_load_no_store(spark, sf):  # noqa: F811
+    for q in (queries.merge_inferred, queries.ontology_summary, queries.distinct_predicate_labels, queries.components, queries.edge_keys):
+        q(spark, sf).collect()
+    assert (spark.sparkContext.applicationId, sf) not in fixture._LOADED
+
+
+def test_fixture_reads_lineitem_once(spark, sf):  # noqa: F811
+    got = fixture.triples(spark, sf)
+    assert plan(got).count("Window [") == 1
+    assert sorted(got.columns) == sorted(c.split()[0] for c in "seq subject predicate object confidence source_doc_id source_span inferred".split())
+
+
+def test_keys_that_repeat_on_one_side_leave_the_other_alone(spark, tmp_path):
+    small = {
+        "region": ([(0, "EUROPE")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "FRANCE", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": ([(1, "S", 0), (1, "T", 0), (2, None, 0)], "s_suppkey long, s_name string, s_nationkey int"),
+        "customer": ([(1, "C", 0)], "c_custkey long, c_name string, c_nationkey int"),
+        "part": ([(1, "p")], "p_partkey long, p_name string"),
+        "orders": ([(7, 1)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(7, 1, 1, 1, 10.0, 0.1), (7, 1, 2, 2, 10.0, 0.1), (9, 1, 1, 1, 10.0, 0.1)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double"),
+    }
+    for name, (rows, schema) in small.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = [(x.subject.name, x.predicate, x.source_doc_id) for x in fixture.triples(spark, str(tmp_path)).filter("predicate in ('supplies', 'ordered')").collect()]
+    want = [("S", "supplies", "order/7"), ("T", "supplies", "order/7"), (None, "supplies", "order/7"), ("S", "supplies", "order/9"), ("T", "supplies", "order/9"), ("C", "ordered", "order/7"), ("C", "ordered", "order/7")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_a_written_table_is_not_written_again(spark, tmp_path):
     own = facts(spark, [(0, "a", "X", "is", "b", "Y", "d"), (1, "b", "Z", "is", "B ", "Y", "e")])
     before = folders(spark, "load")
