@@ -138,3 +138,12 @@ def test_batches_to_python_are_bounded_by_bytes(spark, what):
         got = chunks.chunk(docs) if what == "chunks" else chunks.chunk_stats(docs)
     assert int(spark.conf.get(name)) <= tables.BATCH_BYTES
     got.collect()
+
+
+def test_components_fold_links_not_facts(spark):
+    before = folders(spark, "links")
+    own = facts(spark, [(i, s, "X", "is", o, "Y", "d") for i, (s, o) in enumerate([("a", "B"), ("A", "b"), ("b ", "c"), ("d", "D")] * 5)])
+    assert {(x.name, x.component) for x in bridges.entity_components(own).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "d")}
+    new = folders(spark, "links") - before
+    assert [spark.read.parquet(f"{tables.shared_dir(spark)}/{n}").count() for n in new] == [3]
+    assert pd.DataFrame(bridges.component_report(own).collect()).values.tolist() == [[2, 4, 3]]
