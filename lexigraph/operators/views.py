@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.tables import cut, small
 from ..types import CONCEPT
 
 
@@ -50,8 +51,15 @@ def self_loops(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def collapse_parallel(edges: DataFrame) -> DataFrame:
     """One edge for each (source, target): predicates joined in order, all else as the first has it."""
+    kinds = edges.groupBy("source", "target", "predicate").agg(F.count("*").alias("n"), F.min("seq").alias("seq"), F.min_by("confidence", "seq").alias("confidence"))
+    pairs = cut(kinds.groupBy("source", "target").agg(F.count("*").alias("kinds"), F.first("predicate").alias("p"), F.sum("n").cast("int").alias("n"), F.min_by("confidence", "seq").alias("confidence")), "pairs")
+    # with one predicate, as most have, all that a list of edges would give is its number; the others' edges are put in order
+    mixed = small(cut(pairs.filter("kinds > 1").select(F.col("source").alias("__s"), F.col("target").alias("__t"), "confidence"), "mixed"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "predicate"))), lambda x: x["predicate"]), ", ")
-    return edges.groupBy("source", "target").agg(joined.alias("predicate"), F.min_by("confidence", "seq").alias("confidence")).select(F.concat("source", F.lit("-->"), "target").alias("id"), "source", "target", "predicate", "confidence")
+    some = edges.select("source", "target", "seq", "predicate").join(mixed, F.col("source").eqNullSafe(F.col("__s")) & F.col("target").eqNullSafe(F.col("__t")))
+    some = some.groupBy("source", "target").agg(joined.alias("predicate"), F.first("confidence").alias("confidence"))
+    alike = pairs.filter("kinds = 1").select("source", "target", F.array_join(F.array_repeat("p", F.col("n")), ", ").alias("predicate"), "confidence")
+    return alike.unionByName(some).select(F.concat("source", F.lit("-->"), "target").alias("id"), "source", "target", "predicate", "confidence")
 
 
 def distinct_predicates(edges: DataFrame) -> DataFrame:

@@ -106,6 +106,13 @@ def test_rewriting_folds_names_not_triples(spark):
     assert {(x.seq, x.subject.name, x.object.name, x.object.entity_type) for x in got.collect()} == {(0, "road", "b", "Y"), (1, "b", None, "Y")}
 
 
+def test_collapse_counts_edges_of_one_predicate(spark):
+    rows = [(3, "a", "b", "x", 0.3), (1, "a", "b", "x", 0.1), (2, "a", "b", "y", 0.2), (4, "a", "c", "x", None), (5, "a", "c", "x", 0.5), (6, None, "c", "z", 0.6), (7, None, "c", "w", 0.7), (8, "c", None, None, 0.8), (9, "c", "d", None, 0.1), (10, "c", "d", "v", 0.2)]
+    got = views.collapse_parallel(spark.createDataFrame(rows, "seq long, source string, target string, predicate string, confidence double"))
+    assert {(x.source, x.target, x.predicate, x.confidence) for x in got.collect()} == {("a", "b", "x, y, x", 0.1), ("a", "c", "x, x", None), (None, "c", "z, w", 0.6), ("c", None, "", 0.8), ("c", "d", "v", 0.1)}
+    assert got.filter("source = 'a' and target = 'b'").first().id == "a-->b"
+
+
 def test_paths_of_many_pairs_are_those_of_each(spark):
     links = [("a", "b", False), ("b", "c", True), ("c", "d", True), ("a", "e", True), ("e", "c", True), ("d", "d", False), ("x", "y", False)]
     e = spark.createDataFrame([(s, "is", o, 0.5, "d", i) for s, o, i in links], "subject string, predicate string, object string, confidence double, source_doc_id string, inferred boolean")
